@@ -124,3 +124,16 @@ def access_log_lines(ev: DataFrame) -> DataFrame:
 def split_text(ev: DataFrame) -> DataFrame:
     """Text for the table function: event_type || '#' || props."""
     return ev.select("event_id", F.concat_ws("#", "event_type", "props").alias("s"))
+
+
+ARRIVAL_SPREAD_S = 3600   # out-of-order arrival: up to one hour behind event time
+ARRIVAL_MULT = 7919
+
+
+def with_arrival(ev: DataFrame) -> DataFrame:
+    """Deterministic out-of-order arrival time: ts + (event_id * 7919 % 3600) s.
+
+    Rows arrive ordered by (arrival_ms, event_id).
+    """
+    delay = (F.col("event_id") * ARRIVAL_MULT % ARRIVAL_SPREAD_S) * 1000
+    return ev.withColumn("arrival_ms", F.col("ts_ms") + delay)
