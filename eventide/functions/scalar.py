@@ -2,8 +2,9 @@
 
 K1 is the JVM string hash ``s[0]*31^(n-1) + ... + s[n-1]`` over UTF-16 code
 units, times a factor, wrapped to a signed 32-bit int.  It is written as a
-SQL expression (a fold over the UTF-16 hex digits), so it runs inside the
-JVM with no Python round trip, and the same text backs the SQL function.
+SQL expression -- the string's UTF-16 code units, as 4-digit hex, folded
+once -- so it runs inside the JVM with no Python round trip, and the same
+text backs the SQL function.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ _TWO31 = 2147483648
 
 def hash_code_sql(arg: str, factor: int = 1) -> str:
     """SQL text of ``arg.hashCode * factor`` (32-bit wrap), null for null."""
-    h = f"hex(encode({arg}, 'UTF-16BE'))"
-    fold = (f"aggregate(sequence(0, CAST(length({h}) / 4 AS INT) - 1), CAST(0 AS BIGINT), "
-            f"(acc, i) -> pmod(acc * 31 + CAST(conv(substr({h}, i * 4 + 1, 4), 16, 10) AS BIGINT), {_TWO32}))")
-    scaled = f"pmod(({fold}) * {int(factor)}, {_TWO32})"
-    return (f"CASE WHEN {arg} IS NULL THEN CAST(NULL AS INT) WHEN {arg} = '' THEN 0 "
-            f"ELSE CAST(IF({scaled} >= {_TWO31}, {scaled} - {_TWO32}, {scaled}) AS INT) END")
+    units = f"regexp_extract_all(hex(encode({arg}, 'UTF-16BE')), '([0-9A-F]{{4}})', 1)"
+    fold = (f"aggregate({units}, CAST(0 AS BIGINT), "
+            f"(acc, u) -> pmod(acc * 31 + CAST(conv(u, 16, 10) AS BIGINT), {_TWO32}))")
+    # pmod(x + 2^31, 2^32) - 2^31 is x wrapped to a signed 32-bit value; an
+    # empty string folds to 0 and a null string stays null.
+    return f"CAST(pmod(({fold}) * {int(factor)} + {_TWO31}, {_TWO32}) - {_TWO31} AS INT)"
 
 
 def hash_code(col: str, factor: int = 1) -> Column:
