@@ -1 +1,164 @@
-"""Queries (filled in below)."""
+"""Structured Streaming twins.
+
+Each runs the streaming form of an operator over the ``events`` table staged
+as a file stream (``availableNow``, checkpointed under the shared checkpoint
+root, flushed at the end) and returns what its sink holds.  They share the
+oracle of their batch twin: same relation, computed incrementally.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from eventide.operators import distinct as D
+from eventide.operators import windows as W
+from eventide.operators.topn import top_n_by_count
+from eventide.plans import q_distinct, q_joins, q_patterns, q_state, q_topn, q_windows
+from eventide.plans.registry import REGISTRY, query
+from eventide.sources import tables as S
+from eventide.streaming import processors as P
+from eventide.streaming.runner import append_batches, events_flush_row, latest_complete, run_bounded
+from eventide.streaming.sources import event_stream
+
+HOUR = 3_600_000
+DAY = 24 * HOUR
+
+
+def _oracle(name: str) -> str | None:
+    return REGISTRY[name].oracle
+
+
+def _run(spark, sf, build, purpose, **kw) -> DataFrame:
+    raw = S.read_table(spark, sf, "events")
+    flush = kw.pop("flush", True)
+    return run_bounded(spark, raw, lambda s: build(event_stream(s)), purpose,
+                       flush=events_flush_row(spark, raw) if flush else None, **kw)
+
+
+@query("stream_tumble_count", oracle=_oracle("tumble_count"))
+def stream_tumble_count(spark, sf):
+    """D2 on a stream: append-mode tumbling count, windows released by the watermark."""
+    return _run(spark, sf, lambda s: W.window_count(S.sensor_readings(s), ["id"], 6 * HOUR),
+                "stream_tumble_count")
+
+
+@query("stream_slide_count", oracle=_oracle("slide_count"))
+def stream_slide_count(spark, sf):
+    """D6 on a stream: sliding count per item."""
+    def build(s):
+        b = S.user_behaviour(s).filter(F.col("behaviour") == "pv")
+        return W.window_count(b, ["item_id"], 6 * HOUR, HOUR)
+    return _run(spark, sf, build, "stream_slide_count")
+
+
+@query("stream_uv_incremental", oracle=_oracle("uv_incremental"))
+def stream_uv_incremental(spark, sf):
+    """D13/D14 on a stream: per-window dedup of users, then a count (two stateful steps)."""
+    def build(s):
+        return D.distinct_incremental(S.user_behaviour(s).filter(F.col("behaviour") == "pv"), "user_id", HOUR)
+    return _run(spark, sf, build, "stream_uv_incremental")
+
+
+@query("stream_hot_items_top3", oracle=_oracle("hot_items_top3"))
+def stream_hot_items_top3(spark, sf):
+    """E1 on a stream: sliding counts in append mode; every window's counts are
+    released together, so top-3 per window is taken inside each micro-batch."""
+    def build(s):
+        b = S.user_behaviour(s).filter(F.col("behaviour") == "pv")
+        return W.window_count(b, ["item_id"], 6 * HOUR, HOUR)
+
+    def top3(batch):
+        return top_n_by_count(batch, "window_end", "item_id", 3).select("window_end", "rank", "item_id", "cnt")
+    return _run(spark, sf, build, "stream_hot_items", batch_writer=append_batches(top3))
+
+
+@query("stream_group_count", oracle=_oracle("group_count"))
+def stream_group_count(spark, sf):
+    """D12 on a stream: unbounded group count in complete mode."""
+    return _run(spark, sf, lambda s: W.group_count(S.sensor_readings(s), "id"),
+                "stream_group_count", output_mode="complete", batch_writer=latest_complete(), flush=False)
+
+
+@query("stream_window_join", oracle=_oracle("window_join"))
+def stream_window_join(spark, sf):
+    """G1 on a stream: stream-stream inner join on (user, 1-day window)."""
+    from eventide.operators.joins import window_join
+
+    def build(s):
+        left = s.filter(F.col("event_type") == "click").select("user_id", F.col("event_id").alias("left_id"), "ts")
+        right = s.filter(F.col("event_type") == "view").select("user_id", F.col("event_id").alias("right_id"), "ts")
+        return window_join(left, right, "user_id", DAY, left_cols=["left_id"], right_cols=["right_id"])
+    return _run(spark, sf, build, "stream_window_join", flush=False)
+
+
+@query("stream_interval_join", oracle=_oracle("interval_join"))
+def stream_interval_join(spark, sf):
+    """G2 on a stream: event-time range join; both sides watermarked, so join
+    state older than the range is evicted."""
+    def build(s):
+        left = s.filter(F.col("event_type") == "click").select(
+            F.col("user_id").alias("l_user"), F.col("event_id").alias("left_id"),
+            F.col("ts_ms").alias("left_ts"), F.col("ts").alias("l_time"))
+        right = s.filter(F.col("event_type") == "view").select(
+            F.col("user_id").alias("r_user"), F.col("event_id").alias("right_id"),
+            F.col("ts_ms").alias("right_ts"), F.col("ts").alias("r_time"))
+        cond = ((F.col("l_user") == F.col("r_user"))
+                & (F.col("r_time") >= F.col("l_time") - F.expr("INTERVAL 6 HOURS"))
+                & (F.col("r_time") <= F.col("l_time") + F.expr("INTERVAL 5 HOURS")))
+        return left.join(right, cond, "inner").select(
+            F.col("l_user").alias("user_id"), "left_id", "left_ts", "right_id", "right_ts")
+    return _run(spark, sf, build, "stream_interval_join", flush=False)
+
+
+def _tws(s, key, proc, schema):
+    return s.groupBy(key).transformWithState(proc, schema, "Append", "EventTime")
+
+
+@query("stream_timer_deadlines", oracle=_oracle("timer_deadlines"))
+def stream_timer_deadlines(spark, sf):
+    """I1 on a stream: event-time timers in transformWithState."""
+    def build(s):
+        r = S.sensor_readings(s)
+        return _tws(r, "id", P.DeadlineTimers("id", 10_000), "id string, fire_ms long")
+    return _run(spark, sf, build, "stream_timer_deadlines")
+
+
+@query("stream_rising_run_alert", oracle=_oracle("rising_run_alert"))
+def stream_rising_run_alert(spark, sf):
+    """I3 on a stream: value + timer state, cancellable timer."""
+    def build(s):
+        r = S.sensor_readings(s)
+        return _tws(r, "id", P.RisingAlert("id", "temperature", DAY), "id string, alert_ms long")
+    return _run(spark, sf, build, "stream_rising_run_alert")
+
+
+@query("stream_list_state_ticks", oracle=_oracle("list_state_ticks"))
+def stream_list_state_ticks(spark, sf):
+    """I4 on a stream: never-cleared count + round timer."""
+    def build(s):
+        r = S.sensor_readings(s)
+        return _tws(r, "id", P.ListStateRounds("id", DAY), "id string, fire_ms long, cnt long")
+    return _run(spark, sf, build, "stream_list_state_ticks")
+
+
+@query("stream_order_timeout_state", oracle=_oracle("order_timeout_state"))
+def stream_order_timeout_state(spark, sf):
+    """I5 on a stream: pending creates in list state, settled by payments, timed out by timers."""
+    def build(s):
+        oe = S.order_events(s)
+        return _tws(oe, "order_id", P.PendingCreates("order_id", DAY),
+                    "order_id long, event_id long, ts_ms long, deadline_ms long")
+    return _run(spark, sf, build, "stream_order_timeout_state")
+
+
+@query("stream_login_fail_3", oracle=_oracle("login_fail_3"))
+def stream_login_fail_3(spark, sf):
+    """H1 on a stream: last two events per user in state."""
+    def build(s):
+        lg = S.logins(s)
+        return _tws(lg, "user_id", P.ConsecutiveFails("user_id", "event_type", "fail", DAY),
+                    "user_id long, first_ts long, ip1 string, ip2 string, ip3 string")
+    return _run(spark, sf, build, "stream_login_fail_3")
+
+
+_ = (q_distinct, q_joins, q_patterns, q_state, q_topn, q_windows)  # batch twins register first
