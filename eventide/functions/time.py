@@ -63,3 +63,10 @@ def interval_text(ms: int) -> str:
     if ms % 1000 == 0:
         return f"{ms // 1000} seconds"
     return f"{ms} milliseconds"
+
+
+def floor_div(col: str | Column, n: int) -> Column:
+    """Exact integer floor division of a BIGINT by a positive constant
+    (also for negative values, unlike truncating ``div``)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return ((c - F.pmod(c, F.lit(n))) / F.lit(n)).cast("long")

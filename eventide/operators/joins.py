@@ -17,8 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventide.functions.time import epoch_ms, floor_div
 from eventide.operators.windows import window_col
-from eventide.functions.time import epoch_ms
 
 
 def point_range_join(points: DataFrame, ranges: DataFrame,
@@ -33,8 +33,8 @@ def point_range_join(points: DataFrame, ranges: DataFrame,
     which may share a name.
     """
     r = ranges.withColumn("_lo", lo_ms).withColumn("_hi", hi_ms)
-    r = r.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / bucket_ms),
-                                                F.floor(F.col("_hi") / bucket_ms))))
+    r = r.withColumn("_b", F.explode(F.sequence(floor_div(F.col("_lo"), bucket_ms),
+                                                floor_div(F.col("_hi"), bucket_ms))))
     rk = []
     for i, (_, rc) in enumerate(keys):
         r = r.withColumn(f"_rk{i}", F.col(rc))
@@ -42,7 +42,7 @@ def point_range_join(points: DataFrame, ranges: DataFrame,
     r = r.drop(*{rc for _, rc in keys})
     if how != "inner":
         r = r.select(*rk, "_b", "_lo", "_hi")
-    p = points.withColumn("_pb", F.floor(F.col(point_ms) / bucket_ms))
+    p = points.withColumn("_pb", floor_div(F.col(point_ms), bucket_ms))
     cond = [p[lc] == r[f"_rk{i}"] for i, (lc, _) in enumerate(keys)]
     cond.append(p["_pb"] == r["_b"])
     cond.append(p[point_ms] >= r["_lo"])

@@ -23,12 +23,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eventide.functions.time import floor_div
+
 
 def running_max_before(df: DataFrame, arrival_ms: str, tie: str, values: Mapping[str, Column],
                        bucket_ms: int = 3_600_000, partition_by: Sequence[str] = ()) -> DataFrame:
     """For each name in ``values``: max of that expression over all rows that
     arrived strictly earlier (same ``partition_by`` group), null if none."""
-    x = df.withColumn("_ab", F.floor(F.col(arrival_ms) / F.lit(bucket_ms)))
+    x = df.withColumn("_ab", floor_div(F.col(arrival_ms), bucket_ms))
     for n, c in values.items():
         x = x.withColumn(f"_v_{n}", c)
     pk = list(partition_by)
@@ -59,7 +61,7 @@ def split_late(df: DataFrame, arrival_ms: str, tie: str, ts_ms: str, bound_ms: i
 
 
 def _window_start(ts_ms: str, size_ms: int) -> Column:
-    return F.floor(F.col(ts_ms) / F.lit(size_ms)) * F.lit(size_ms)
+    return floor_div(F.col(ts_ms), size_ms) * F.lit(size_ms)
 
 
 def late_window_split(df: DataFrame, key: str, arrival_ms: str, tie: str, ts_ms: str,
@@ -133,7 +135,7 @@ def cumulative_window_count(df: DataFrame, key: str, ts_ms: str, size_ms: int,
     n = size_ms // step_ms
     x = (df.select(key, ts_ms)
            .withColumn("window_start", _window_start(ts_ms, size_ms))
-           .withColumn("_s", F.floor((F.col(ts_ms) - F.col("window_start")) / F.lit(step_ms))))
+           .withColumn("_s", floor_div(F.col(ts_ms) - F.col("window_start"), step_ms)))
     per_step = x.groupBy(key, "window_start", "_s").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(key, "window_start").orderBy("_s")
     running = (per_step

@@ -25,9 +25,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eventide.functions.time import floor_div
+
 
 def _halo(df: DataFrame, ts_ms: str, within_ms: int, bucket_ms: int) -> DataFrame:
-    hb = F.floor(F.col(ts_ms) / F.lit(bucket_ms))
+    hb = floor_div(F.col(ts_ms), bucket_ms)
     near_start = (F.col(ts_ms) - hb * bucket_ms) < within_ms
     copies = F.array(F.struct(hb.alias("b"), F.lit(True).alias("home")),
                      F.when(near_start, F.struct((hb - 1).alias("b"), F.lit(False).alias("home"))))
@@ -86,7 +88,7 @@ def followed_by_within(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     """
     x = df.withColumn("_p0", F.coalesce(first, F.lit(False))) \
           .withColumn("_p1", F.coalesce(second, F.lit(False)))
-    f = with_following(x.filter(F.lit(True)), keys, ts_ms, tie, [*cols, "_p1"], 1, within_ms, bucket_ms)
+    f = with_following(x, keys, ts_ms, tie, [*cols, "_p1"], 1, within_ms, bucket_ms)
     anchors = f.filter("_p0")
     in_time = F.col("next1").isNotNull() & ((F.col(f"next1.{ts_ms}") - F.col(ts_ms)) < within_ms)
     fields = list(dict.fromkeys([*cols, ts_ms]))

@@ -22,6 +22,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eventide.functions.time import floor_div
+
 DEFAULT_BUCKET_MS = 86_400_000
 
 
@@ -38,7 +40,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     """
     sums = dict(sums or {})
     keys = list(keys)
-    x = df.withColumn("_b", F.floor(F.col(ts_ms) / F.lit(bucket_ms)))
+    x = df.withColumn("_b", floor_div(F.col(ts_ms), bucket_ms))
     for n, c in sums.items():
         x = x.withColumn(f"_i_{n}", c.cast("long"))
 

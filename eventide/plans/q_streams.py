@@ -46,7 +46,7 @@ def stream_tumble_count(spark, sf):
 def stream_slide_count(spark, sf):
     """D6 on a stream: sliding count per item."""
     def build(s):
-        b = S.user_behaviour(s).filter(F.col("behaviour") == "pv")
+        b = S.page_views(s)
         return W.window_count(b, ["item_id"], 6 * HOUR, HOUR)
     return _run(spark, sf, build, "stream_slide_count")
 
@@ -55,7 +55,7 @@ def stream_slide_count(spark, sf):
 def stream_uv_incremental(spark, sf):
     """D13/D14 on a stream: per-window dedup of users, then a count (two stateful steps)."""
     def build(s):
-        return D.distinct_incremental(S.user_behaviour(s).filter(F.col("behaviour") == "pv"), "user_id", HOUR)
+        return D.distinct_incremental(S.page_views(s), "user_id", HOUR)
     return _run(spark, sf, build, "stream_uv_incremental")
 
 
@@ -64,7 +64,7 @@ def stream_hot_items_top3(spark, sf):
     """E1 on a stream: sliding counts in append mode; every window's counts are
     released together, so top-3 per window is taken inside each micro-batch."""
     def build(s):
-        b = S.user_behaviour(s).filter(F.col("behaviour") == "pv")
+        b = S.page_views(s)
         return W.window_count(b, ["item_id"], 6 * HOUR, HOUR)
 
     def top3(batch):

@@ -23,7 +23,7 @@ WHERE rank <= 3""")
 
 
 def hot_items(spark, sf, n: int = 3):
-    b = S.user_behaviour(S.events(spark, sf)).filter(F.col("behaviour") == "pv")
+    b = S.page_views(S.events(spark, sf))
     counts = W.window_count(b, ["item_id"], 6 * HOUR, HOUR)
     return top_n_by_count(counts, "window_end", "item_id", n).select("window_end", "rank", "item_id", "cnt")
 

@@ -67,7 +67,7 @@ def tumble_count(spark, sf):
        "FROM events WHERE event_type = 'view' GROUP BY ALL")
 def pv_hourly(spark, sf):
     """D3: global page views per hour (no key)."""
-    b = S.user_behaviour(S.events(spark, sf)).filter(F.col("behaviour") == "pv")
+    b = S.page_views(S.events(spark, sf))
     return W.window_count(b, [], HOUR, name="pv").drop("window_start")
 
 
@@ -76,7 +76,7 @@ def pv_hourly(spark, sf):
        "FROM marketing WHERE behaviour <> 'UNINSTALL' GROUP BY ALL")
 def marketing_total(spark, sf):
     """Global count per hour with UNINSTALL removed; the constant key is dropped."""
-    m = S.marketing(S.events(spark, sf)).filter(F.col("behaviour") != "UNINSTALL")
+    m = S.marketing(S.events(spark, sf), drop_uninstall=True)
     return W.window_count(m, [], HOUR).select("cnt", "window_end")
 
 
@@ -86,7 +86,7 @@ def marketing_total(spark, sf):
        "FROM marketing WHERE behaviour <> 'UNINSTALL' GROUP BY ALL)")
 def marketing_by_channel(spark, sf):
     """Count per (channel, behaviour, hour); behaviour is dropped from the output."""
-    m = S.marketing(S.events(spark, sf)).filter(F.col("behaviour") != "UNINSTALL")
+    m = S.marketing(S.events(spark, sf), drop_uninstall=True)
     return W.window_count(m, ["channel", "behaviour"], HOUR).select("channel", "cnt", "window_end")
 
 
@@ -99,7 +99,7 @@ SLIDE_SQL = (with_(BEHAVIOUR) +
 @query("slide_count", oracle=SLIDE_SQL)
 def slide_count(spark, sf):
     """Sliding count per item, 6-hour windows every hour."""
-    b = S.user_behaviour(S.events(spark, sf)).filter(F.col("behaviour") == "pv")
+    b = S.page_views(S.events(spark, sf))
     return W.window_count(b, ["item_id"], 6 * HOUR, HOUR)
 
 

@@ -54,13 +54,22 @@ def user_behaviour(ev: DataFrame) -> DataFrame:
     )
 
 
+def page_views(ev: DataFrame) -> DataFrame:
+    """UserBehaviour rows with behaviour 'pv', filtered on the raw column so
+    the predicate reaches the parquet scan."""
+    return user_behaviour(ev.filter(F.col("event_type") == "view"))
+
+
 def channel_of(user_id: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in CHANNELS]),
                         (user_id % len(CHANNELS) + 1).cast("int"))
 
 
-def marketing(ev: DataFrame) -> DataFrame:
-    """Marketing actions: channel by user, error = UNINSTALL."""
+def marketing(ev: DataFrame, drop_uninstall: bool = False) -> DataFrame:
+    """Marketing actions: channel by user, error = UNINSTALL (optionally
+    removed on the raw column, so the predicate reaches the scan)."""
+    if drop_uninstall:
+        ev = ev.filter(F.col("event_type") != "error")
     beh = (F.when(F.col("event_type") == "view", "BROWSE")
             .when(F.col("event_type") == "click", "CLICK")
             .when(F.col("event_type") == "error", "UNINSTALL")
