@@ -162,3 +162,83 @@ def stream_login_fail_3(spark, sf):
 
 
 _ = (q_distinct, q_joins, q_patterns, q_state, q_topn, q_windows)  # batch twins register first
+
+
+def _followed_by(spark, sf, purpose):
+    def build(s):
+        oe = S.order_events(s)
+        return _tws(oe, "order_id", P.FollowedBy("order_id", "event_type", "create", "pay", DAY),
+                    "kind string, order_id long, match_id long, event_id long, event_type string, "
+                    "ts_ms long, deadline_ms long")
+    return _run(spark, sf, build, purpose)
+
+
+@query("stream_order_match", oracle=_oracle("order_match"))
+def stream_order_match(spark, sf):
+    """H2 on a stream: create immediately followed by pay within 1 day (both events)."""
+    out = _followed_by(spark, sf, "stream_order_match")
+    return out.filter(F.col("kind") == "match").select("order_id", "match_id", "event_id", "event_type", "ts_ms")
+
+
+@query("stream_order_timeout", oracle=_oracle("order_timeout"))
+def stream_order_timeout(spark, sf):
+    """H2 side output on a stream: creates timed out at their deadline."""
+    out = _followed_by(spark, sf, "stream_order_timeout")
+    return out.filter(F.col("kind") == "timeout").select("order_id", "event_id", "ts_ms", "deadline_ms")
+
+
+@query("stream_gate", oracle=_oracle("gate"))
+def stream_gate(spark, sf):
+    """G5 on a stream: switches and readings of a user in one keyed processor."""
+    def build(s):
+        x = s.select("event_id", "user_id", "ts_ms", F.col("value").alias("temperature"),
+                     (F.col("event_type") == "signup").alias("is_switch"),
+                     ((F.col("event_id") % 24 + 1) * HOUR).alias("dur_ms"))
+        return _tws(x, "user_id", P.SwitchGate("user_id"),
+                    "event_id long, user_id long, ts_ms long, temperature double")
+    return _run(spark, sf, build, "stream_gate")
+
+
+def _reconcile_stream(spark, sf, purpose):
+    """G3 on a stream: full outer event-time range join, both sides watermarked;
+    unmatched rows are released once the watermark passes their range."""
+    def build(s):
+        o = s.filter(F.col("event_type") == "purchase").select(
+            F.col("user_id").alias("o_user"), F.col("event_id").alias("order_event_id"),
+            F.col("ts_ms").alias("order_ts"), F.col("ts").alias("o_time"))
+        p = s.filter(F.col("event_type") == "click").select(
+            F.col("user_id").alias("p_user"), F.col("event_id").alias("pay_event_id"),
+            F.col("ts_ms").alias("pay_ts"), F.col("ts").alias("p_time"))
+        cond = ((F.col("o_user") == F.col("p_user"))
+                & (F.col("p_time") >= F.col("o_time") - F.expr("INTERVAL 1 HOUR"))
+                & (F.col("p_time") <= F.col("o_time") + F.expr("INTERVAL 1 HOUR")))
+        return o.join(p, cond, "full_outer").select(
+            "o_user", "order_event_id", "order_ts", "p_user", "pay_event_id", "pay_ts")
+
+    def drop_flush(batch):
+        return batch.filter(F.coalesce(F.col("o_user"), F.col("p_user")) >= 0)
+    return _run(spark, sf, build, purpose, batch_writer=append_batches(drop_flush))
+
+
+@query("stream_reconcile_matched", oracle=_oracle("reconcile_matched"))
+def stream_reconcile_matched(spark, sf):
+    """G3 matched pairs from the streaming full outer join."""
+    out = _reconcile_stream(spark, sf, "stream_reconcile_matched")
+    return out.filter(F.col("o_user").isNotNull() & F.col("p_user").isNotNull()).select(
+        F.col("o_user").alias("user_id"), "order_event_id", "order_ts", "pay_event_id", "pay_ts")
+
+
+@query("stream_reconcile_unmatched_orders", oracle=_oracle("reconcile_unmatched_orders"))
+def stream_reconcile_unmatched_orders(spark, sf):
+    """G3 orders without a payment, released by the watermark."""
+    out = _reconcile_stream(spark, sf, "stream_reconcile_unmatched_orders")
+    return out.filter(F.col("p_user").isNull()).select(
+        F.col("o_user").alias("user_id"), "order_event_id", "order_ts")
+
+
+@query("stream_reconcile_unmatched_pays", oracle=_oracle("reconcile_unmatched_pays"))
+def stream_reconcile_unmatched_pays(spark, sf):
+    """G3 payments without an order, released by the watermark."""
+    out = _reconcile_stream(spark, sf, "stream_reconcile_unmatched_pays")
+    return out.filter(F.col("o_user").isNull()).select(
+        F.col("p_user").alias("user_id"), "pay_event_id", "pay_ts")

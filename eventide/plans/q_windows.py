@@ -149,3 +149,12 @@ def group_count(spark, sf):
 def constant_per_window(spark, sf):
     """One constant row per (key, window) from a window process function."""
     return W.constant_per_window(_sensor(spark, sf), "id", DAY)
+
+
+@query("proctime_tumble_count", oracle=with_(SENSOR) + "SELECT id, count(id) AS cnt FROM sensor GROUP BY id")
+def proctime_tumble_count(spark, sf):
+    """C6 + D9/D11: tumbling count on a processing-time column.  A batch query
+    reads the clock once, so every row shares one processing time and one
+    10-second window: the result is the per-key count."""
+    s = _sensor(spark, sf).withColumn("pt", F.current_timestamp())
+    return W.window_count(s, ["id"], "10 seconds", ts="pt").select("id", "cnt")

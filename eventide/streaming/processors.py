@@ -1,13 +1,13 @@
-"""Stateful processors for ``transformWithState``.
+"""Stateful processors for ``transformWithState``.
 
 Rows of a key reach ``handleInputRows`` once per micro-batch, unordered.  Each
 processor sorts them by (ts, tie) and walks them; a timer that is due
 before a row (``T < row.ts``) is fired inline, which is the same rule the
 batch twins use.  Whatever is still pending at the end of the batch becomes
 a real event-time timer, fired by ``handleExpiredTimer`` once the watermark
-passes it.  State per key is O(1) (or the creates still inside their
-deadline for I5), held in the RocksDB state store and checkpointed with the
-query.
+passes it.  State per key is O(1) -- or the creates still inside their
+deadline (I5), or the switches the watermark has not passed (G5) -- held in
+the RocksDB state store and checkpointed with the query.
 """
 
 from __future__ import annotations
@@ -221,3 +221,95 @@ class ConsecutiveFails(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class FollowedBy(_InlineTimer):
+    """H2: a ``first`` event immediately followed by a ``second`` event of the
+    same key within ``within_ms`` (exclusive).  A pending ``first`` times out
+    when the key's next event is not earlier than its deadline (inline) or
+    when the watermark passes the deadline (timer); a next event in time but
+    of another type discards it.  Emits ``kind`` = match (two rows) / timeout."""
+
+    def __init__(self, key: str, type_col: str, first: str, second: str, within_ms: int,
+                 ts: str = "ts_ms", tie: str = "event_id"):
+        self.key, self.type_col, self.first, self.second = key, type_col, first, second
+        self.within, self.ts, self.tie = within_ms, ts, tie
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.pending = handle.getValueState("pending", "event_id long, ts_ms long, event_type string")
+        self.timer = handle.getValueState("timer", "t long")
+
+    def _row(self, key, kind, match_id, eid, etype, ts):
+        return Row(**{"kind": kind, self.key: key[0], "match_id": match_id, "event_id": eid,
+                      "event_type": etype, "ts_ms": ts, "deadline_ms": ts + self.within})
+
+    def handleInputRows(self, key, rows, timerValues):
+        out = []
+        p = tuple(self.pending.get()) if self.pending.exists() else None
+        for r in _sorted(rows, self.ts, self.tie):
+            if p is not None:
+                pid, pts, ptype = p
+                if r[self.ts] - pts >= self.within:
+                    out.append(self._row(key, "timeout", pid, pid, ptype, pts))
+                elif r[self.type_col] == self.second:
+                    out.append(self._row(key, "match", pid, pid, ptype, pts))
+                    out.append(self._row(key, "match", pid, r[self.tie], r[self.type_col], r[self.ts]))
+                p = None
+            if r[self.type_col] == self.first:
+                p = (r[self.tie], r[self.ts], r[self.type_col])
+        if p is None:
+            self.pending.clear()
+            self._set_timer(_NO_TIMER)
+        else:
+            self.pending.update(p)
+            self._set_timer(p[1] + self.within)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        if self._timer() == t and self.pending.exists():
+            pid, pts, ptype = tuple(self.pending.get())
+            self.pending.clear()
+            self.timer.clear()
+            yield self._row(key, "timeout", pid, pid, ptype, pts)
+
+    def close(self) -> None:
+        pass
+
+
+class SwitchGate(StatefulProcessor):
+    """Forward a key's readings while one of its switches is on.  A
+    switch row opens ``[ts, ts + dur)``; intervals the watermark has passed
+    are evicted, so state holds only switches that can still matter."""
+
+    def __init__(self, key: str, is_switch: str = "is_switch", dur: str = "dur_ms",
+                 ts: str = "ts_ms", tie: str = "event_id", out_cols=("event_id", "user_id", "ts_ms", "temperature")):
+        self.key, self.is_switch, self.dur, self.ts, self.tie = key, is_switch, dur, ts, tie
+        self.out_cols = list(out_cols)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", "start long, end long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm = timerValues.getCurrentWatermarkInMs()
+        spans = [tuple(x) for x in self.open.get()] if self.open.exists() else []
+        spans = [s for s in spans if s[1] > wm]
+        out = []
+        for r in _sorted(rows, self.ts, self.tie):
+            if r[self.is_switch]:
+                spans.append((r[self.ts], r[self.ts] + r[self.dur]))
+            elif any(s <= r[self.ts] < e for s, e in spans):
+                out.append(Row(**{c: r[c] for c in self.out_cols}))
+        if spans:
+            self.open.put(spans)
+        else:
+            self.open.clear()
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        return iter(())
+
+    def close(self) -> None:
+        pass
