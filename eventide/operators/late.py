@@ -24,6 +24,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.functions.time import floor_div
+from eventide.operators.sequence import keyed_scan
 
 
 def running_max_before(df: DataFrame, arrival_ms: str, tie: str, values: Mapping[str, Column],
@@ -96,17 +97,19 @@ def allowed_lateness_counts(df: DataFrame, key: str, arrival_ms: str, tie: str,
     kind = (F.when(F.col("wm_ms").isNull() | (F.col("wm_ms") < close), F.lit(0))
              .when(F.col("wm_ms") < close + lateness_ms, F.lit(1)).otherwise(F.lit(2)))
     w = w.withColumn("_kind", kind).filter(F.col("_kind") < 2)
-    per_win = Window.partitionBy(key, "window_end")
-    w = w.withColumn("_n_on", F.sum(F.when(F.col("_kind") == 0, 1).otherwise(0)).over(per_win))
+    # On-time count per window: a partial + final aggregate, never one task per window.
     first = (w.filter(F.col("_kind") == 0).groupBy(key, "window_end")
               .agg(F.count(F.lit(1)).alias("cnt"))
               .select(key, "window_end", F.lit(1).cast("bigint").alias("seq"), "cnt"))
-    late_order = Window.partitionBy(key, "window_end").orderBy(arrival_ms, tie)
-    updates = (w.filter(F.col("_kind") == 1)
-                .withColumn("_k", F.row_number().over(late_order).cast("bigint"))
-                .select(key, "window_end",
-                        (F.col("_k") + F.when(F.col("_n_on") > 0, 1).otherwise(0)).cast("bigint").alias("seq"),
-                        (F.col("_n_on") + F.col("_k")).cast("bigint").alias("cnt")))
+    # Late-but-allowed rows, numbered per window in arrival order (skew-safe scan).
+    late = keyed_scan(w.filter(F.col("_kind") == 1).select(key, "window_end", arrival_ms, tie),
+                      [key, "window_end"], arrival_ms, tie, sums={"_k": F.lit(1)}, bucket_ms=bucket_ms)
+    on = first.select(key, "window_end", F.col("cnt").alias("_n_on"))
+    updates = (late.join(on, on=[key, "window_end"], how="left")
+                   .withColumn("_n_on", F.coalesce(F.col("_n_on"), F.lit(0)))
+                   .select(key, "window_end",
+                           (F.col("_k") + F.when(F.col("_n_on") > 0, 1).otherwise(0)).cast("bigint").alias("seq"),
+                           (F.col("_n_on") + F.col("_k")).cast("bigint").alias("cnt")))
     out = first.unionByName(updates)
     return out.withColumn("is_update", F.col("seq") > 1)
 
