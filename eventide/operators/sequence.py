@@ -6,7 +6,8 @@ running sum of a flag (run and round ids).  ``Window.partitionBy(key)``
 would put a hot key -- possibly a third of all rows -- into one task.
 
 Instead rows are split by (key, time bucket).  A small table with one row
-per non-empty (key, bucket) holds the bucket's totals and last row; a
+per non-empty (key, bucket) holds the bucket's totals and last row (found
+by ``max_by`` on a single numeric order key, so it stays a hash aggregate); a
 window over that table (partitioned by key, but only #buckets rows per key)
 turns them into carries: the sums over all earlier buckets and the last row
 of the previous non-empty bucket.  The big side is then scanned per
@@ -21,10 +22,27 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from eventide.functions.time import floor_div
 
 DEFAULT_BUCKET_MS = 86_400_000
+_TIE_SHIFT = "CAST('100000000000000000000' AS DECIMAL(38,0))"   # 10^20 > 2^64
+_TIE_OFFSET = "CAST('9223372036854775808' AS DECIMAL(38,0))"    # 2^63
+
+
+def _order_key(df: DataFrame, ts_ms: str, tie: str) -> Column:
+    """One value ordered like (ts_ms, tie).
+
+    For an integral tie it is the DECIMAL(38,0) ``ts * 10^20 + (tie + 2^63)``,
+    which keeps ``max_by`` a hash aggregate (a struct key would force a
+    sort-based aggregate over the whole input); otherwise the struct.
+    """
+    if isinstance(df.schema[tie].dataType, T.IntegralType):
+        d = "decimal(38,0)"
+        return (F.col(ts_ms).cast(d) * F.expr(_TIE_SHIFT)
+                + (F.col(tie).cast(d) + F.expr(_TIE_OFFSET)))
+    return F.struct(ts_ms, tie)
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
@@ -45,16 +63,16 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
         x = x.withColumn(f"_i_{n}", c.cast("long"))
 
     aggs = [F.sum(f"_i_{n}").alias(f"_s_{n}") for n in sums]
-    if lags:
-        aggs.append(F.max_by(F.struct(*lags), F.struct(ts_ms, tie)).alias("_last"))
+    order = _order_key(df, ts_ms, tie)
+    for c in lags:
+        aggs.append(F.max_by(F.col(c), order).alias(f"_last_{c}"))
     if not aggs:
         aggs.append(F.count(F.lit(1)).alias("_n"))
     stats = x.groupBy(*keys, "_b").agg(*aggs)
     wk = Window.partitionBy(*keys).orderBy("_b")
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
     carry = [F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums]
-    if lags:
-        carry.append(F.lag("_last").over(wk).alias("_plast"))
+    carry += [F.lag(f"_last_{c}").over(wk).alias(f"_plast_{c}") for c in lags]
     carries = stats.select(*keys, "_b", *carry)
 
     j = x.join(carries, on=[*keys, "_b"], how="inner")
@@ -66,7 +84,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     if lags:
         first = F.row_number().over(wb) == 1
         for c in lags:
-            out = out.withColumn(f"prev_{c}", F.when(first, F.col(f"_plast.{c}"))
+            out = out.withColumn(f"prev_{c}", F.when(first, F.col(f"_plast_{c}"))
                                  .otherwise(F.lag(c).over(wb)))
-    drop = ["_b", "_plast"] + [f"_i_{n}" for n in sums] + [f"_o_{n}" for n in sums]
+    drop = (["_b"] + [f"_i_{n}" for n in sums] + [f"_o_{n}" for n in sums]
+            + [f"_plast_{c}" for c in lags])
     return out.drop(*[d for d in drop if d in out.columns])
