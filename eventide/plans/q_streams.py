@@ -242,3 +242,26 @@ def stream_reconcile_unmatched_pays(spark, sf):
     out = _reconcile_stream(spark, sf, "stream_reconcile_unmatched_pays")
     return out.filter(F.col("o_user").isNull()).select(
         F.col("p_user").alias("user_id"), "pay_event_id", "pay_ts")
+
+
+@query("stream_hot_items_sql", oracle=_oracle("hot_items_sql"))
+def stream_hot_items_sql(spark, sf):
+    """E3 on a stream: ROW_NUMBER is not allowed on a streaming plan, so the
+    top-3 SQL runs inside foreachBatch over each batch's released windows."""
+    def build(s):
+        return W.window_count(S.page_views(s), ["item_id"], 6 * HOUR, HOUR)
+
+    def top3_sql(batch):
+        batch.createOrReplaceTempView("eventide_window_counts")
+        return batch.sparkSession.sql("""
+            SELECT window_end, CAST(rank AS BIGINT) AS rank, item_id, cnt FROM (
+              SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS rank
+              FROM eventide_window_counts) WHERE rank <= 3""")
+    return _run(spark, sf, build, "stream_hot_items_sql", batch_writer=append_batches(top3_sql))
+
+
+@query("stream_sensor_minmax_tumble", oracle=_oracle("sensor_minmax_tumble"))
+def stream_sensor_minmax_tumble(spark, sf):
+    """D1 on a stream: min/max per sensor and 1-day window, append mode."""
+    return _run(spark, sf, lambda s: W.window_min_max(S.sensor_readings(s), "id", "temperature", DAY),
+                "stream_sensor_minmax_tumble")

@@ -158,3 +158,9 @@ def proctime_tumble_count(spark, sf):
     10-second window: the result is the per-key count."""
     s = _sensor(spark, sf).withColumn("pt", F.current_timestamp())
     return W.window_count(s, ["id"], "10 seconds", ts="pt").select("id", "cnt")
+
+
+@query("constant_per_row", oracle="SELECT 'hello' AS out FROM events")
+def constant_per_row(spark, sf):
+    """A process function emitting one constant row per input row."""
+    return W.constant_per_row(S.events(spark, sf))

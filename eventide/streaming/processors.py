@@ -313,3 +313,27 @@ class SwitchGate(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ProcessingTimeDeadline(StatefulProcessor):
+    """A processing-time timer ``delay_ms`` after a key's rows are
+    processed; each firing emits (key, fire_ms).  Clock dependent by nature,
+    so it runs only on streams (``timeMode="ProcessingTime"``)."""
+
+    def __init__(self, key: str, delay_ms: int):
+        self.key, self.delay = key, delay_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues):
+        for _ in rows:
+            pass
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield Row(**{self.key: key[0], "fire_ms": expiredTimerInfo.getExpiryTimeInMs()})
+
+    def close(self) -> None:
+        pass
