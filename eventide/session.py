@@ -76,3 +76,15 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state_store(spark: SparkSession) -> None:
+    """Stateful processors (``transformWithState``) need the RocksDB state
+    store; it is also the provider to use for large state.  Set it when the
+    session names another provider (it is read when a query starts)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)

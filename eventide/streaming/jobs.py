@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from eventide.session import scratch_path
+from eventide.session import ensure_rocksdb_state_store, scratch_path
 
 
 def start_continuous(result: DataFrame, name: str, sink: str = "parquet", path: str | None = None,
@@ -26,6 +26,7 @@ def start_continuous(result: DataFrame, name: str, sink: str = "parquet", path:
     pass the same folder again to resume after a failure.
     """
     spark = result.sparkSession
+    ensure_rocksdb_state_store(spark)
     ck = checkpoint or scratch_path(spark, f"checkpoint-{name}")
     w = (result.writeStream.queryName(name).outputMode(output_mode)
          .option("checkpointLocation", ck).trigger(processingTime=trigger))

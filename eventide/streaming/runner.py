@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.session import scratch_path
+from eventide.session import ensure_rocksdb_state_store, scratch_path
 
 FLUSH_TS = "2100-01-01 00:00:00"
 
@@ -64,6 +64,7 @@ def run_bounded(spark: SparkSession, source: DataFrame, build: Callable[[DataFra
     """Stage ``source`` as files, run ``build(stream)`` to a parquet sink with
     ``availableNow``, optionally restart once with ``flush``, and return the
     sink's contents as a batch DataFrame."""
+    ensure_rocksdb_state_store(spark)
     base = scratch_path(spark, purpose)
     src, out, ck = f"{base}/source", f"{base}/output", f"{base}/checkpoint"
     source.write.mode("append").parquet(src)
