@@ -62,7 +62,7 @@ def page_views(ev: DataFrame) -> DataFrame:
 
 def channel_of(user_id: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in CHANNELS]),
-                        (user_id % len(CHANNELS) + 1).cast("int"))
+                        (F.pmod(user_id, F.lit(len(CHANNELS))) + 1).cast("int"))
 
 
 def marketing(ev: DataFrame, drop_uninstall: bool = False) -> DataFrame:

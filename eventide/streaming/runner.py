@@ -27,17 +27,20 @@ FLUSH_TS = "2100-01-01 00:00:00"
 
 def events_flush_row(spark: SparkSession, like: DataFrame) -> DataFrame:
     """Far-future flush rows shaped like the events table: one per event type,
-    all with key -1.
+    each with its own negative key.
 
     Catalyst pushes filters that do not read the event-time column below the
     watermark, so a flush row must survive the operator's own filters to
     reach it; one row per type does, whatever type the operator keeps.
     """
     types = ["click", "error", "purchase", "signup", "view"]
-    return (spark.createDataFrame([(t,) for t in types], "event_type string")
-                .select(F.lit(-1).cast("bigint").alias("event_id"),
+    rows = [(-(i + 1), t) for i, t in enumerate(types)]
+    # Each flush row has its own negative key, so no key ever holds two of
+    # them: no pattern, join or timer chain can form among flush rows.
+    return (spark.createDataFrame(rows, "k long, event_type string")
+                .select(F.col("k").alias("event_id"),
                         F.lit(FLUSH_TS).cast("timestamp_ntz").alias("ts"),
-                        F.lit(-1).cast("bigint").alias("user_id"),
+                        F.col("k").alias("user_id"),
                         F.col("event_type"),
                         F.lit(0.0).alias("value"),
                         F.lit(None).cast("string").alias("props")))
