@@ -1,8 +1,8 @@
 """Structured Streaming twins.
 
-Each runs the streaming form of an operator over the ``events`` table staged
-as a file stream (``availableNow``, checkpointed under the shared checkpoint
-root, flushed at the end) and returns what its sink holds.  They share the
+Each runs the streaming form of an operator over the ``events`` table read
+as a file stream in place (``availableNow``, checkpointed under the shared
+checkpoint root, flushed at the end) and returns what its sink holds.  They share the
 oracle of their batch twin: same relation, computed incrementally.
 """
 
@@ -29,10 +29,11 @@ def _oracle(name: str) -> str | None:
 
 
 def _run(spark, sf, build, purpose, **kw) -> DataFrame:
-    raw = S.read_table(spark, sf, "events")
+    path = f"{sf.rstrip('/')}/events.parquet"
+    schema = S.read_table(spark, sf, "events").schema
     flush = kw.pop("flush", True)
-    return run_bounded(spark, raw, lambda s: build(event_stream(s)), purpose,
-                       flush=events_flush_row(spark, raw) if flush else None, **kw)
+    return run_bounded(spark, path, schema, lambda s: build(event_stream(s)), purpose,
+                       flush=events_flush_row(spark) if flush else None, **kw)
 
 
 @query("stream_tumble_count", oracle=_oracle("tumble_count"))

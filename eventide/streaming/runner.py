@@ -1,8 +1,9 @@
 """Run a streaming plan over a bounded input and read its sink back.
 
-Everything lives in a fresh folder under ``spark.checkpoint.dir`` (the
-cluster's shared storage): the staged source files, the sink, and the
-stream checkpoint (offsets, commits and RocksDB state).  A lost executor or
+The stream reads the table's own files in place.  Everything it writes
+lives in a fresh folder under ``spark.checkpoint.dir`` (the cluster's shared
+storage): the flush rows, the sink, and the stream checkpoint (offsets,
+commits and RocksDB state).  A lost executor or
 driver resumes from that checkpoint.
 
 Append-mode windows and event-time timers are released only when the
@@ -25,7 +26,7 @@ from eventide.session import ensure_rocksdb_state_store, scratch_path
 FLUSH_TS = "2100-01-01 00:00:00"
 
 
-def events_flush_row(spark: SparkSession, like: DataFrame) -> DataFrame:
+def events_flush_row(spark: SparkSession) -> DataFrame:
     """Far-future flush rows shaped like the events table: one per event type,
     each with its own negative key.
 
@@ -48,9 +49,7 @@ def events_flush_row(spark: SparkSession, like: DataFrame) -> DataFrame:
 
 def _has_files(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds any parquet file, on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = _hadoop_fs(spark, path)
     if not fs.exists(p):
         return False
     it = fs.listFiles(p, True)
@@ -60,24 +59,45 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def run_bounded(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame], DataFrame],
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stream_path(spark: SparkSession, path: str) -> str:
+    """A path a file stream accepts.  File sources watch folders; a single
+    table file is addressed by a glob that matches just that file."""
+    p, fs = _hadoop_fs(spark, path)
+    if any(ch in path for ch in "*?[{") or not fs.exists(p) or not fs.getFileStatus(p).isFile():
+        return path
+    return f"{path[:-1]}[{path[-1]}]"
+
+
+def run_bounded(spark: SparkSession, source_path: str, schema, build: Callable[[DataFrame], DataFrame],
                 purpose: str, output_mode: str = "append",
                 batch_writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
                 flush: DataFrame | None = None) -> DataFrame:
-    """Stage ``source`` as files, run ``build(stream)`` to a parquet sink with
-    ``availableNow``, optionally restart once with ``flush``, and return the
-    sink's contents as a batch DataFrame."""
+    """Stream the table at ``source_path`` in place through ``build``, with
+    ``availableNow``; optionally restart once with ``flush`` rows; return the
+    sink's contents as a batch DataFrame.
+
+    The input is not copied: the stream reads the table's own files, unioned
+    with a flush folder that stays empty until the restart.
+    """
     ensure_rocksdb_state_store(spark)
     base = scratch_path(spark, purpose)
-    src, out, ck = f"{base}/source", f"{base}/output", f"{base}/checkpoint"
-    source.write.mode("append").parquet(src)
-    schema = source.schema
+    flush_dir, out, ck = f"{base}/flush", f"{base}/output", f"{base}/checkpoint"
+    p, fs = _hadoop_fs(spark, flush_dir)
+    fs.mkdirs(p)
+    table = stream_path(spark, source_path)
     result_schema = None
 
     def start() -> None:
         nonlocal result_schema
-        stream = spark.readStream.schema(schema).parquet(src)
-        result = build(stream)
+        data = spark.readStream.schema(schema).parquet(table)
+        extra = spark.readStream.schema(schema).parquet(flush_dir)
+        result = build(data.unionByName(extra))
         result_schema = result.schema
         w = (result.writeStream.option("checkpointLocation", ck)
              .outputMode(output_mode).trigger(availableNow=True))
@@ -92,7 +112,7 @@ def run_bounded(spark: SparkSession, source: DataFrame, build: Callable[[DataFra
 
     start()
     if flush is not None:
-        flush.write.mode("append").parquet(src)
+        flush.select(*schema.names).write.mode("append").parquet(flush_dir)
         start()
     if not _has_files(spark, out):
         return spark.createDataFrame([], result_schema)
