@@ -79,8 +79,8 @@ def avg_udaf(spark, sf):
 
 @query("json_docs", oracle=with_(SENSOR) + """
 SELECT 'sensor' AS "index",
-       to_json(struct_pack(data := 'SensorReading(' || id || ',' || CAST(ts_ms AS VARCHAR) || ','
-                                    || CAST(temperature AS VARCHAR) || ')')) AS doc FROM sensor""")
+       CAST(to_json(struct_pack(data := 'SensorReading(' || id || ',' || CAST(ts_ms AS VARCHAR) || ','
+                                         || CAST(temperature AS VARCHAR) || ')')) AS VARCHAR) AS doc FROM sensor""")
 def json_docs(spark, sf):
     """Every reading as a JSON document for index 'sensor'."""
     return to_documents(_sensor(spark, sf), "sensor", "SensorReading", ["id", "ts_ms", "temperature"])

@@ -29,11 +29,19 @@ def con():
     return duckdb_views(SF)
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     o_cols, o_rows = run_oracle(con, E.oracle_sql()[name])
     assert sorted(s_cols) == sorted(o_cols)
+    s_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    o_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert s_types == o_types
     assert len(s_rows) == len(o_rows)
     assert digest(s_cols, s_rows)[0] == digest(o_cols, o_rows)[0]
