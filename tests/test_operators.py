@@ -121,9 +121,12 @@ def _sim_rising(rs, delay):
     return out
 
 
-def test_rising_alerts_simulation(ev):
+@pytest.mark.parametrize("seed", [7, 11, 23])
+def test_rising_alerts_simulation(spark, seed):
+    data = _events(seed)
+    ev = spark.createDataFrame(data, "id long, key string, ts_ms long, temp double, kind string")
     got = rows(rising_alerts(ev, "key", "temp", "ts_ms", "id", 3_000, bucket_ms=5_000), "key", "alert_ms")
-    expect = sorted((k, a) for k, rs in _by_key(_events()).items() for a in _sim_rising(rs, 3_000))
+    expect = sorted((k, a) for k, rs in _by_key(data).items() for a in _sim_rising(rs, 3_000))
     assert got == expect
 
 
@@ -147,7 +150,7 @@ def test_list_state_rounds_simulation(ev):
     assert got == expect
 
 
-def _arrivals(data):
+def _arrivals(data):  # noqa: D401
     # arrival = ts + pseudo-random delay up to 3 s; order by (arrival, id)
     return sorted(((r[2] + (r[0] * 7919 % 3000), r[0], r[1], r[2]) for r in data))
 
@@ -189,10 +192,13 @@ def _sim_lateness(data, size, bound, lateness):
     return sorted(out)
 
 
-def test_allowed_lateness_simulation(ev):
+@pytest.mark.parametrize("seed", [7, 11, 23])
+def test_allowed_lateness_simulation(spark, seed):
+    data = _events(seed)
+    ev = spark.createDataFrame(data, "id long, key string, ts_ms long, temp double, kind string")
     x = ev.withColumn("arrival_ms", F.col("ts_ms") + F.col("id") * 7919 % 3000)
     out = L.allowed_lateness_counts(x, "key", "arrival_ms", "id", "ts_ms", 5_000, 500, 1_000, bucket_ms=2_000)
-    assert rows(out, "key", "window_end", "seq", "cnt") == _sim_lateness(_events(), 5_000, 500, 1_000)
+    assert rows(out, "key", "window_end", "seq", "cnt") == _sim_lateness(data, 5_000, 500, 1_000)
 
 
 def test_cumulative_window_brute_force(ev):
