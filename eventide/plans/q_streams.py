@@ -23,6 +23,12 @@ from eventide.streaming.sources import event_stream
 HOUR = 3_600_000
 DAY = 24 * HOUR
 
+_ = (q_distinct, q_joins, q_patterns, q_state, q_topn, q_windows)  # batch twins register first
+
+
+# Files per micro-batch of the table stream (None = all available at once).
+MAX_FILES_PER_TRIGGER: int | None = None
+
 
 def _oracle(name: str) -> str | None:
     return REGISTRY[name].oracle
@@ -33,7 +39,8 @@ def _run(spark, sf, build, purpose, **kw) -> DataFrame:
     schema = S.read_table(spark, sf, "events").schema
     flush = kw.pop("flush", True)
     return run_bounded(spark, path, schema, lambda s: build(event_stream(s)), purpose,
-                       flush=events_flush_row(spark) if flush else None, **kw)
+                       flush=events_flush_row(spark) if flush else None,
+                       max_files_per_trigger=MAX_FILES_PER_TRIGGER, **kw)
 
 
 @query("stream_tumble_count", oracle=_oracle("tumble_count"))
@@ -162,9 +169,6 @@ def stream_login_fail_3(spark, sf):
     return _run(spark, sf, build, "stream_login_fail_3")
 
 
-_ = (q_distinct, q_joins, q_patterns, q_state, q_topn, q_windows)  # batch twins register first
-
-
 def _followed_by(spark, sf, purpose):
     def build(s):
         oe = S.order_events(s)

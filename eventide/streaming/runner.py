@@ -77,7 +77,7 @@ def stream_path(spark: SparkSession, path: str) -> str:
 def run_bounded(spark: SparkSession, source_path: str, schema, build: Callable[[DataFrame], DataFrame],
                 purpose: str, output_mode: str = "append",
                 batch_writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
-                flush: DataFrame | None = None) -> DataFrame:
+                flush: DataFrame | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the table at ``source_path`` in place through ``build``, with
     ``availableNow``; optionally restart once with ``flush`` rows; return the
     sink's contents as a batch DataFrame.
@@ -95,7 +95,10 @@ def run_bounded(spark: SparkSession, source_path: str, schema, build: Callable[[
 
     def start() -> None:
         nonlocal result_schema
-        data = spark.readStream.schema(schema).parquet(table)
+        reader = spark.readStream.schema(schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        data = reader.parquet(table)
         extra = spark.readStream.schema(schema).parquet(flush_dir)
         result = build(data.unionByName(extra))
         result_schema = result.schema
