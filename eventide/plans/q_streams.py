@@ -270,3 +270,23 @@ def stream_sensor_minmax_tumble(spark, sf):
     """D1 on a stream: min/max per sensor and 1-day window, append mode."""
     return _run(spark, sf, lambda s: W.window_min_max(S.sensor_readings(s), "id", "temperature", DAY),
                 "stream_sensor_minmax_tumble")
+
+
+@query("stream_group_count_updates", oracle=_oracle("group_count"))
+def stream_group_count_updates(spark, sf):
+    """A9/D12 on a stream in update mode: each micro-batch emits only the keys
+    whose count changed; the changelog is kept with its batch id, and the
+    newest row per key is the current count."""
+    from pyspark.sql import Window
+
+    def writer(out):
+        def write(batch, batch_id):
+            batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
+                 .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        return write
+
+    log = _run(spark, sf, lambda s: W.group_count(S.sensor_readings(s), "id"), "stream_group_count_updates",
+               output_mode="update", batch_writer=writer, flush=False)
+    newest = Window.partitionBy("id").orderBy(F.col("batch_id").desc())
+    return (log.withColumn("_r", F.row_number().over(newest)).filter("_r = 1")
+               .select("id", "cnt"))
