@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from eventide.operators import state as ST
 from eventide.plans.registry import query
 from eventide.plans.sqlparts import ORDERS, SENSOR, with_

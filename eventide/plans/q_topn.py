@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from eventide.operators import windows as W
 from eventide.operators.topn import top_n_by_count, top_values
 from eventide.plans.registry import query
