@@ -5,7 +5,8 @@ same key: its position (changelog), the previous value (rising runs), a
 running sum of a flag (run and round ids).  ``Window.partitionBy(key)``
 would put a hot key -- possibly a third of all rows -- into one task.
 
-Instead rows are split by (key, time bucket).  A small table with one row
+Instead rows are split by (key, time bucket); a bucket that still holds too
+many rows (a burst of a hot key) is cut again at approximate ts quantiles.  A small table with one row
 per non-empty (key, bucket) holds the bucket's totals and last row (found
 by ``max_by`` on a single numeric order key, so it stays a hash aggregate); a
 window over that table (partitioned by key, but only #buckets rows per key)
@@ -27,6 +28,10 @@ from pyspark.sql import types as T
 from eventide.functions.time import floor_div
 
 DEFAULT_BUCKET_MS = 86_400_000
+# A (key, bucket) holding more rows than this is split at approximate ts
+# quantiles, so one task never scans a burst of a hot key alone.
+DEFAULT_TARGET_ROWS = 4_000_000
+_SPLITS = 32
 _TIE_SHIFT = "CAST('100000000000000000000' AS DECIMAL(38,0))"   # 10^20 > 2^64
 _TIE_OFFSET = "CAST('9223372036854775808' AS DECIMAL(38,0))"    # 2^63
 
@@ -45,9 +50,36 @@ def _order_key(df: DataFrame, ts_ms: str, tie: str) -> Column:
     return F.struct(ts_ms, tie)
 
 
+def time_buckets(df: DataFrame, keys: Sequence[str], ts_ms: str, bucket_ms: int,
+                 target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Add ``_b``: a bucket id per row, non-decreasing in ts within a key.
+
+    Buckets are ``bucket_ms`` wide.  A (key, bucket) with more than
+    ``target_rows`` rows is cut at ``_SPLITS - 1`` approximate quantiles of
+    its ts, computed on the rows of hot buckets only; the small table of cut
+    points is joined back (AQE broadcasts it when its measured size allows).
+    Rows with the same ts always share a bucket.
+    """
+    keys = list(keys)
+    x = df.withColumn("_cb", floor_div(F.col(ts_ms), bucket_ms))
+    if not target_rows:
+        return x.withColumnRenamed("_cb", "_b")
+    sizes = x.groupBy(*keys, "_cb").agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.filter(F.col("_n") > target_rows).select(*keys, "_cb")
+    probs = [i / _SPLITS for i in range(1, _SPLITS)]
+    cuts = (x.join(hot, on=[*keys, "_cb"], how="left_semi")
+              .groupBy(*keys, "_cb")
+              .agg(F.percentile_approx(ts_ms, probs, 10_000).alias("_cuts")))
+    x = x.join(cuts, on=[*keys, "_cb"], how="left")
+    sub = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(ts_ms))), F.lit(0))
+    return x.withColumn("_b", F.col("_cb") * _SPLITS + sub).drop("_cb", "_cuts")
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
                sums: Mapping[str, Column] | None = None, lags: Sequence[str] = (),
-               bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+               bucket_ms: int = DEFAULT_BUCKET_MS,
+               target_rows: int | None = DEFAULT_TARGET_ROWS,
+               keep_bucket: bool = False) -> DataFrame:
     """Add per-key running sums (inclusive) and previous-row values.
 
     Order within a key is (``ts_ms``, ``tie``).  For each ``name`` in
@@ -55,10 +87,14 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     to and including the row; for each column ``c`` in ``lags`` a column
     ``prev_c`` holds its value on the previous row of the key (null on the
     first row).
+
+    With ``keep_bucket`` the bucket column ``_b`` stays on the output; a
+    following scan of the same keys then reuses it (no second sizing pass)
+    and finds the rows already partitioned by (key, bucket).
     """
     sums = dict(sums or {})
     keys = list(keys)
-    x = df.withColumn("_b", floor_div(F.col(ts_ms), bucket_ms))
+    x = df if "_b" in df.columns else time_buckets(df, keys, ts_ms, bucket_ms, target_rows)
     for n, c in sums.items():
         x = x.withColumn(f"_i_{n}", c.cast("long"))
 
@@ -86,6 +122,6 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
         for c in lags:
             out = out.withColumn(f"prev_{c}", F.when(first, F.col(f"_plast_{c}"))
                                  .otherwise(F.lag(c).over(wb)))
-    drop = (["_b"] + [f"_i_{n}" for n in sums] + [f"_o_{n}" for n in sums]
+    drop = ([] if keep_bucket else ["_b"]) + ([f"_i_{n}" for n in sums] + [f"_o_{n}" for n in sums]
             + [f"_plast_{c}" for c in lags])
     return out.drop(*[d for d in drop if d in out.columns])

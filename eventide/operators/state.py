@@ -81,7 +81,7 @@ def rising_alerts(df: DataFrame, key: str, value: str, ts_ms: str, tie: str, del
     so the next rise re-arms.  Output: key, alert_ms.
     """
     base = df.select(key, value, ts_ms, tie)
-    s = keyed_scan(base, [key], ts_ms, tie, lags=[value], bucket_ms=bucket_ms)
+    s = keyed_scan(base, [key], ts_ms, tie, lags=[value], bucket_ms=bucket_ms, keep_bucket=True)
     prev = F.col(f"prev_{value}")
     s = (s.withColumn("_reset", prev.isNull() | (F.col(value) < prev))
           .withColumn("_rise", prev.isNotNull() & (F.col(value) > prev)))
@@ -123,7 +123,8 @@ def list_state_rounds(df: DataFrame, key: str, ts_ms: str, tie: str, period_ms:
     timer is pending sets one at ts + period; when it fires the key emits how
     many rows it has stored so far.  Output: key, fire_ms, cnt."""
     base = df.select(key, ts_ms, tie)
-    s = keyed_scan(base, [key], ts_ms, tie, sums={"n": F.lit(1)}, lags=[ts_ms], bucket_ms=bucket_ms)
+    s = keyed_scan(base, [key], ts_ms, tie, sums={"n": F.lit(1)}, lags=[ts_ms], bucket_ms=bucket_ms,
+                   keep_bucket=True)
     gap = F.col(f"prev_{ts_ms}").isNull() | ((F.col(ts_ms) - F.col(f"prev_{ts_ms}")) > period_ms)
     s = s.withColumn("_new", gap)
     g = keyed_scan(s, [key], ts_ms, tie, sums={"stretch": F.col("_new")}, bucket_ms=bucket_ms)

@@ -50,6 +50,16 @@ def test_keyed_scan_matches_full_window(ev):
             assert got[r[0]] == (pos + 1, na, rs[pos - 1][3] if pos else None)
 
 
+def test_keyed_scan_splits_hot_buckets(ev):
+    """A tiny row target forces quantile cuts inside buckets; results are unchanged."""
+    s = keyed_scan(ev, ["key"], "ts_ms", "id", sums={"n": F.lit(1)}, lags=["temp"], bucket_ms=50_000,
+                   target_rows=5)
+    got = {r["id"]: (r["n"], r["prev_temp"]) for r in s.collect()}
+    for _, rs in _by_key(_events()).items():
+        for pos, r in enumerate(rs):
+            assert got[r[0]] == (pos + 1, rs[pos - 1][3] if pos else None)
+
+
 def test_changelog(ev):
     out = changelog_count(ev, "key", "ts_ms", "id", bucket_ms=5_000)
     expect = []
