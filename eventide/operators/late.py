@@ -6,7 +6,8 @@ twins here need, for every row, the watermark in force when it arrived, i.e.
 a running max over *arrival order* across the whole input.
 
 ``running_max_before`` computes it in two phases so that no task sees all
-rows: rows are bucketed by arrival time; the per-bucket maxima (one small row
+rows: rows are bucketed by arrival time (a bucket with too many rows is cut
+again at arrival quantiles); the per-bucket maxima (one small row
 per bucket) are prefix-maxed in arrival order and joined back; inside each
 bucket a window ordered by (arrival, tie) finishes the job.  Only the
 per-bucket table -- its size is the arrival span divided by the bucket width,
@@ -24,14 +25,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.functions.time import floor_div
-from eventide.operators.sequence import keyed_scan
+from eventide.operators.sequence import DEFAULT_TARGET_ROWS, keyed_scan, time_buckets
 
 
 def running_max_before(df: DataFrame, arrival_ms: str, tie: str, values: Mapping[str, Column],
-                       bucket_ms: int = 3_600_000, partition_by: Sequence[str] = ()) -> DataFrame:
+                       bucket_ms: int = 3_600_000, partition_by: Sequence[str] = (),
+                       target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
     """For each name in ``values``: max of that expression over all rows that
     arrived strictly earlier (same ``partition_by`` group), null if none."""
-    x = df.withColumn("_ab", floor_div(F.col(arrival_ms), bucket_ms))
+    # Arrival buckets; a burst holding too many rows is cut at arrival quantiles.
+    x = time_buckets(df, list(partition_by), arrival_ms, bucket_ms, target_rows).withColumnRenamed("_b", "_ab")
     for n, c in values.items():
         x = x.withColumn(f"_v_{n}", c)
     pk = list(partition_by)

@@ -177,6 +177,16 @@ def test_watermark_and_late_split(ev):
         mx = ts if mx is None else max(mx, ts)
 
 
+def test_running_max_with_cut_arrival_buckets(ev):
+    x = ev.withColumn("arrival_ms", F.col("ts_ms") + F.col("id") * 7919 % 3000)
+    out = L.running_max_before(x, "arrival_ms", "id", {"m": F.col("ts_ms")}, bucket_ms=20_000, target_rows=7)
+    got = {r["id"]: r["m"] for r in out.collect()}
+    mx = None
+    for arr, i, key, ts in _arrivals(_events()):
+        assert got[i] == mx
+        mx = ts if mx is None else max(mx, ts)
+
+
 def _sim_lateness(data, size, bound, lateness):
     state, out, wm, mx = {}, [], None, None
     for arr, i, key, ts in _arrivals(data):
