@@ -104,13 +104,13 @@ def test_order_timeout_without_cep(spark):
 
 
 def test_split_table_function(spark):
-    t = literal_rows(spark, [("hello#world",), ("itcpay#bigdata",)], "s string")
+    t = literal_rows(spark, [("hello#world",), ("sample#bigdata",)], "s string")
     assert rows(split_words(t, "s", "#"), "word", "length") == sorted(
-        [("hello", 5), ("world", 5), ("itcpay", 6), ("bigdata", 7)])
+        [("hello", 5), ("world", 5), ("sample", 6), ("bigdata", 7)])
     register_split_words(spark, "split_t")
     t.createOrReplaceTempView("t")
     got = spark.sql("SELECT s, word, length FROM t, LATERAL split_t(s, '#')")
-    assert rows(got, "word", "length") == sorted([("hello", 5), ("world", 5), ("itcpay", 6), ("bigdata", 7)])
+    assert rows(got, "word", "length") == sorted([("hello", 5), ("world", 5), ("sample", 6), ("bigdata", 7)])
     left = spark.sql("SELECT s, word FROM t LEFT JOIN LATERAL split_t(s, '#') ON TRUE")
     assert len(left.collect()) == 4
 
