@@ -1,14 +1,13 @@
 """Contiguous event patterns per key with a time limit (H1, H2).
 
 A pattern ``e0, e1, ..., e{k-1}`` of strictly consecutive events of one key
-with ``ts(e{k-1}) - ts(e0) < within`` only ever looks ``within`` ahead of its
-first event.  Rows are therefore partitioned by (key, time bucket) with
-buckets of ``bucket_ms >= within``; each bucket also receives, as a *halo*,
-the rows of the next bucket that lie less than ``within`` after its start.
-Inside a partition, ``lead`` over (ts, tie) sees every event of the key up to
-``within`` after any home row, in order, so matches anchored on home rows are
-exact.  A hot key is spread over its buckets; only the halo (a fraction
-``within / bucket_ms`` of the rows) is shuffled twice.
+needs, for each anchor, only its next k-1 events.  Rows are partitioned by
+(key, time bucket) -- a hot bucket is cut again at ts quantiles -- and
+``lead`` runs inside each partition.  The last k-1 rows of a bucket take
+their followers from a small carry table: the first k-1 rows of every
+bucket, shifted back over the key's following buckets.  A hot key is spread
+over its buckets, no row is copied, and the followers are exact however far
+apart the events are.
 
 Semantics (strict contiguity, skip-none, exclusive time limit):
 * a match needs every step's predicate on the anchor's 0..k-1 next events
@@ -25,38 +24,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventide.functions.time import floor_div
-
-
-def _halo(df: DataFrame, ts_ms: str, within_ms: int, bucket_ms: int) -> DataFrame:
-    hb = floor_div(F.col(ts_ms), bucket_ms)
-    near_start = (F.col(ts_ms) - hb * bucket_ms) < within_ms
-    copies = F.array(F.struct(hb.alias("b"), F.lit(True).alias("home")),
-                     F.when(near_start, F.struct((hb - 1).alias("b"), F.lit(False).alias("home"))))
-    return (df.withColumn("_c", F.explode(F.filter(copies, lambda c: c.isNotNull())))
-              .withColumn("_b", F.col("_c.b")).withColumn("_home", F.col("_c.home")).drop("_c"))
+from eventide.operators.sequence import DEFAULT_TARGET_ROWS, time_buckets
 
 
 def with_following(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
                    cols: Sequence[str], n: int, within_ms: int,
-                   bucket_ms: int | None = None) -> DataFrame:
-    """Add ``next{i}`` structs (i = 1..n) of ``cols`` + ts for each row.
-
-    Exact whenever the i-th next event lies less than ``within_ms`` after the
-    row; otherwise it may be null (it can only be later than that).
+                   bucket_ms: int | None = None, target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Add ``next{i}`` structs (i = 1..n) of ``cols`` + ts: the i-th next
+    event of the row's key in (ts, tie) order, null past the key's last row.
+
+    Rows are partitioned by (key, time bucket) -- hot buckets are cut at ts
+    quantiles -- and ``lead`` runs inside each bucket.  The last ``n`` rows
+    of a bucket take their followers from a small carry: every bucket's
+    first ``n`` rows, shifted back over the following buckets of the key.
     """
-    b = max(bucket_ms or 8 * within_ms, within_ms)
-    x = _halo(df, ts_ms, within_ms, b)
+    b = bucket_ms or max(8 * within_ms, 1)
+    fields = list(dict.fromkeys([*cols, ts_ms]))
+    x = time_buckets(df, keys, ts_ms, b, target_rows)
     w = Window.partitionBy(*keys, "_b").orderBy(ts_ms, tie)
-    nxt = F.struct(*[F.col(c) for c in dict.fromkeys([*cols, ts_ms])])
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = (x.withColumn("_row", F.struct(*[F.col(c) for c in fields]))
+          .withColumn("_rn", F.row_number().over(w))
+          .withColumn("_m", F.count(F.lit(1)).over(whole)))
+    for i in range(1, n + 1):
+        x = x.withColumn(f"_in{i}", F.lead("_row", i).over(w))
+    # Each bucket's first n rows (at most n per bucket are collected).
+    heads = (x.filter(F.col("_rn") <= n).groupBy(*keys, "_b")
+              .agg(F.sort_array(F.collect_list(F.struct("_rn", "_row"))).alias("_h")))
+    heads = heads.withColumn("_h", F.transform("_h", lambda e: e["_row"]))
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    empty = F.array().cast(heads.schema["_h"].dataType)
+    following = [F.coalesce(F.lead("_h", j).over(wk), empty) for j in range(1, n + 1)]
+    carries = heads.select(*keys, "_b", F.slice(F.concat(*following), 1, n).alias("_next"))
+    j = x.join(carries, on=[*keys, "_b"], how="inner")
     for i in range(1, n + 1):
-        x = x.withColumn(f"next{i}", F.lead(nxt, i).over(w))
-    return x.filter("_home").drop("_b", "_home")
+        spill = F.try_element_at("_next", (F.col("_rn") + i - F.col("_m")).cast("int"))
+        j = j.withColumn(f"next{i}", F.when(F.col("_rn") + i <= F.col("_m"), F.col(f"_in{i}"))
+                         .otherwise(spill))
+    return j.drop("_b", "_row", "_rn", "_m", "_next", *[f"_in{i}" for i in range(1, n + 1)])
 
 
 def match_sequence(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
                    steps: Sequence[Column], within_ms: int, cols: Sequence[str],
-                   bucket_ms: int | None = None) -> DataFrame:
+                   bucket_ms: int | None = None, target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Rows anchoring a match of ``steps`` (boolean expressions over a row).
 
     Output: keys, then ``step0 .. step{k-1}`` structs of ``cols`` + ts.
@@ -66,7 +76,7 @@ def match_sequence(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     for i, s in enumerate(steps):
         x = x.withColumn(f"_p{i}", F.coalesce(s, F.lit(False)))
     flags = [f"_p{i}" for i in range(k)]
-    f = with_following(x, keys, ts_ms, tie, [*cols, *flags], k - 1, within_ms, bucket_ms)
+    f = with_following(x, keys, ts_ms, tie, [*cols, *flags], k - 1, within_ms, bucket_ms, target_rows)
     cond = F.col("_p0")
     for i in range(1, k):
         cond = cond & F.coalesce(F.col(f"next{i}._p{i}"), F.lit(False))

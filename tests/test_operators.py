@@ -87,9 +87,10 @@ def test_range_joins_brute_force(ev, spark):
     assert sorted(r["id"] for r in gated.collect()) == expect
 
 
-def test_match_sequence_halo(ev):
+@pytest.mark.parametrize("bucket_ms,target", [(10_000, None), (1_000, None), (50_000, 5)])
+def test_match_sequence_buckets(ev, bucket_ms, target):
     steps = [F.col("kind") == "a", F.col("kind") == "b", F.col("kind") == "a"]
-    m = match_sequence(ev, ["key"], "ts_ms", "id", steps, 9_000, ["id"], bucket_ms=10_000)
+    m = match_sequence(ev, ["key"], "ts_ms", "id", steps, 9_000, ["id"], bucket_ms=bucket_ms, target_rows=target)
     got = sorted(r["step0"]["id"] for r in m.collect())
     expect = []
     for rs in _by_key(_events()).values():
