@@ -90,7 +90,8 @@ def match_sequence(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
 
 def followed_by_within(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
                        first: Column, second: Column, within_ms: int, cols: Sequence[str],
-                       bucket_ms: int | None = None) -> tuple[DataFrame, DataFrame]:
+                       bucket_ms: int | None = None,
+                       target_rows: int | None = DEFAULT_TARGET_ROWS) -> tuple[DataFrame, DataFrame]:
     """H2: ``first`` immediately followed by ``second`` within the limit.
 
     Returns (matches, timeouts).  Matches carry ``first``/``second`` structs;
@@ -98,7 +99,7 @@ def followed_by_within(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     """
     x = df.withColumn("_p0", F.coalesce(first, F.lit(False))) \
           .withColumn("_p1", F.coalesce(second, F.lit(False)))
-    f = with_following(x, keys, ts_ms, tie, [*cols, "_p1"], 1, within_ms, bucket_ms)
+    f = with_following(x, keys, ts_ms, tie, [*cols, "_p1"], 1, within_ms, bucket_ms, target_rows)
     anchors = f.filter("_p0")
     in_time = F.col("next1").isNotNull() & ((F.col(f"next1.{ts_ms}") - F.col(ts_ms)) < within_ms)
     fields = list(dict.fromkeys([*cols, ts_ms]))

@@ -100,7 +100,7 @@ def test_match_sequence_buckets(ev, bucket_ms, target):
                 expect.append(a[0])
     assert got == sorted(expect)
     mt, to = followed_by_within(ev, ["key"], "ts_ms", "id", F.col("kind") == "a", F.col("kind") == "b",
-                                4_000, ["id"], bucket_ms=5_000)
+                                4_000, ["id"], bucket_ms=bucket_ms, target_rows=target)
     exp_m, exp_t = [], []
     for rs in _by_key(_events()).values():
         for i, r in enumerate(rs):
