@@ -7,23 +7,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import huffman, packing
+from eventide.llm import ftrl, huffman, mixing, packing, pii, simhash
 from eventide.llm.common import table
 from eventide.llm.tokens import vocabulary
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal numbers, dates and addresses replaced."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids written in Huffman blocks and read back."""
     return huffman.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; learned from labelled rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = ftrl.train(docs, table(spark, sf_dir, "labels"), ftrl.fold() != 0)
+    return ftrl.held_out(ftrl.score(docs, model))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_huffman_ids, op10_packing)}
+    return {f.__name__: f for f in (op1_simhash, op3_mixing, op7_pii, op8_huffman_ids, op9_toxicity, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
