@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventide.llm import ftrl, huffman, mixing, packing, pii, simhash
+from eventide.llm import crf, ftrl, html_extract, huffman, imatch, mixing, multi_index, packing, pii, simhash
 from eventide.llm.common import table
 from eventide.llm.tokens import vocabulary
 
@@ -17,11 +18,33 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return imatch.edit_digests(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; learned from rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return crf.held_out(crf.predict(docs, crf.train(docs, crf.fold() != 1)))
+
+
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth one."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with its personal numbers, dates and addresses replaced."""
     return pii.report(table(spark, sf_dir, "documents"))
@@ -45,7 +68,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_mixing, op7_pii, op8_huffman_ids, op9_toxicity, op10_packing)}
+    return {f.__name__: f for f in (
+        op1_simhash, op2_html_extract, op3_mixing, op4_imatch, op5_language_id, op6_multi_index, op7_pii, op8_huffman_ids,
+        op9_toxicity, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
