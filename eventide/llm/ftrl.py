@@ -72,8 +72,8 @@ def feature_pieces(text: str) -> Iterator[np.ndarray]:
     if len(lowered) < 8 * PIECE_WORDS:
         pieces = iter([_WORD.findall(lowered)])
     else:
-        words = (m.group() for m in _WORD.finditer(lowered))
-        pieces = iter(lambda: list(islice(words, PIECE_WORDS)), [])
+        stream = (m.group() for m in _WORD.finditer(lowered))
+        pieces = iter(lambda: list(islice(stream, PIECE_WORDS)), [])
     for words in pieces:
         if not words:
             return
