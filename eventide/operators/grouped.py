@@ -26,7 +26,8 @@ def group_bounds(pdf: pd.DataFrame, group_cols: Sequence[str]) -> np.ndarray:
     change = np.zeros(n, dtype=bool)
     change[0] = True
     for c in group_cols:
-        v = pdf[c].to_numpy()
+        # Codes compare nulls as equal, and large ids without going through floats.
+        v = pd.factorize(pdf[c], use_na_sentinel=False)[0]
         change[1:] |= v[1:] != v[:-1]
     return np.append(np.flatnonzero(change), n)
 
@@ -37,20 +38,22 @@ def map_sorted_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     gcols = list(group_cols)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
+        held: list[pd.DataFrame] = []          # pieces of the last group, joined once it has ended
         for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            b = group_bounds(pdf, gcols)
-            cut = int(b[-2])            # start of the last (possibly unfinished) group
-            carry = pdf.iloc[cut:].reset_index(drop=True)
-            if cut > 0:
-                done = pdf.iloc[:cut].reset_index(drop=True)
-                yield fn(done, b[:-1])
-        if carry is not None and len(carry):
-            yield fn(carry, group_bounds(carry, gcols))
+            edge = pd.concat([held[-1].iloc[-1:], pdf], ignore_index=True) if held else pdf
+            starts = group_bounds(edge, gcols)[:-1] - len(held[:1])      # places in pdf; -1 is the held group's
+            cut = int(starts[-1])
+            if cut >= 0 and (cut > 0 or held):
+                done = pd.concat([*held, pdf.iloc[:cut]], ignore_index=True)
+                if len(done):
+                    yield fn(done, group_bounds(done, gcols))
+                held = []
+            held.append(pdf.iloc[max(cut, 0):])
+        if held:
+            done = pd.concat(held, ignore_index=True)
+            yield fn(done, group_bounds(done, gcols))
 
     return (df.repartition(*gcols)
               .sortWithinPartitions(*gcols, *order_cols)

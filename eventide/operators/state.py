@@ -7,27 +7,29 @@ the input.  Per-key order is (ts, tie).
 
 Per-key ordered facts (positions, previous values, run ids) come from
 ``keyed_scan`` and never put a whole key into one task.  The two timer
-chains (I3 alerts inside a rising run, I4 rounds of a list state) are
-sequential by nature -- the next timer depends on when the previous one
-fired -- so they run as a small pandas step per group, where a group is one
-rising run (I3) or one stretch of a key without a gap longer than the timer
-delay (I4): a gap that long always ends a chain, so the stretches are
-independent.  Only the columns the chain needs cross to Python.
+chains (I3 alerts while values rise, I4 rounds of a list state) are sequential
+by nature -- the next timer depends on when the previous one fired -- but only
+the pending time crosses a bucket; ``chains`` follows it over small functions
+of the buckets, so no task holds more than one bucket of a key.  Only the
+columns the chain needs cross to Python.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.operators.grouped import map_sorted_groups
+from eventide.operators.chains import timer_chains
 from eventide.operators.joins import point_range_join
-from eventide.operators.sequence import DEFAULT_BUCKET_MS, keyed_scan
+from eventide.operators.sequence import DEFAULT_BUCKET_MS, DEFAULT_TARGET_ROWS, keyed_scan
 
+# Rows of a (key, bucket) that a timer chain walks in one Python call, and
+# delays in its bucket.
+CHAIN_ROWS = 500_000
+CHAIN_DELAYS = 16
 
-def changelog_count(df: DataFrame, key: str, ts_ms: str, tie: str,
-                    bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+
+def changelog_count(df: DataFrame, key: str, ts_ms: str, tie: str, bucket_ms: int = DEFAULT_BUCKET_MS,
+                    target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
     """The retract stream of ``SELECT key, COUNT(*) GROUP BY key``.
 
     Each input row (position ``seq`` in its key) emits ``(false, seq-1)``
@@ -35,7 +37,7 @@ def changelog_count(df: DataFrame, key: str, ts_ms: str, tie: str,
     Output: key, seq, is_add, cnt.
     """
     s = keyed_scan(df.select(key, ts_ms, tie), [key], ts_ms, tie, sums={"seq": F.lit(1)},
-                   bucket_ms=bucket_ms)
+                   bucket_ms=bucket_ms, target_rows=target_rows)
     msgs = F.array(
         F.struct(F.lit(True).alias("is_add"), F.col("seq").alias("cnt")),
         F.when(F.col("seq") > 1, F.struct(F.lit(False).alias("is_add"), (F.col("seq") - 1).alias("cnt"))))
@@ -48,29 +50,6 @@ def timer_deadlines(df: DataFrame, key: str, ts_ms: str, delay_ms: int) -> DataF
     return df.select(key, (F.col(ts_ms) + F.lit(delay_ms)).alias("fire_ms")).distinct()
 
 
-def _rise_chain(delay_ms: int, key: str):
-    def chain(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
-        ts = pdf["ts_ms"].to_numpy()
-        is_end = pdf["is_end"].to_numpy()
-        keys = pdf[key].to_numpy()
-        out_k, out_a = [], []
-        for g in range(len(bounds) - 1):
-            lo, hi = int(bounds[g]), int(bounds[g + 1])
-            ends = ts[lo:hi][is_end[lo:hi]]
-            end = ends[0] if len(ends) else None
-            rises, i = ts[lo:hi][~is_end[lo:hi]], 0
-            while i < len(rises):
-                a = int(rises[i]) + delay_ms
-                if end is not None and end <= a:
-                    break
-                out_k.append(keys[lo])
-                out_a.append(a)
-                i = int(np.searchsorted(rises, a, side="right"))
-        return pd.DataFrame({key: pd.Series(out_k, dtype=pdf[key].dtype),
-                             "alert_ms": pd.Series(out_a, dtype="int64")})
-    return chain
-
-
 def rising_alerts(df: DataFrame, key: str, value: str, ts_ms: str, tie: str, delay_ms: int,
                   bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
     """Alert when a key's value keeps rising (no drop) for ``delay_ms``.
@@ -81,40 +60,14 @@ def rising_alerts(df: DataFrame, key: str, value: str, ts_ms: str, tie: str, del
     so the next rise re-arms.  Output: key, alert_ms.
     """
     base = df.select(key, value, ts_ms, tie)
-    s = keyed_scan(base, [key], ts_ms, tie, lags=[value], bucket_ms=bucket_ms, keep_bucket=True)
+    s = keyed_scan(base, [key], ts_ms, tie, lags=[value], bucket_ms=_chain_bucket(bucket_ms, delay_ms),
+                   target_rows=CHAIN_ROWS, keep_bucket=True)
     prev = F.col(f"prev_{value}")
-    s = (s.withColumn("_reset", prev.isNull() | (F.col(value) < prev))
-          .withColumn("_rise", prev.isNotNull() & (F.col(value) > prev)))
-    r = keyed_scan(s, [key], ts_ms, tie, sums={"run": F.col("_reset")}, bucket_ms=bucket_ms)
-    # A run's rises plus, as its end marker, the reset row that opens the next run.
-    rows = (r.filter(F.col("_rise") | F.col("_reset"))
-             .select(key, F.when(F.col("_reset"), F.col("run") - 1).otherwise(F.col("run")).alias("run"),
-                     F.col(ts_ms).alias("ts_ms"), F.col("_reset").alias("is_end")))
-    key_type = df.schema[key].dataType.simpleString()
-    return map_sorted_groups(rows, [key, "run"], ["ts_ms"], _rise_chain(delay_ms, key),
-                             f"{key} {key_type}, alert_ms bigint")
-
-
-def _round_chain(period_ms: int, key: str):
-    def chain(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
-        ts = pdf["ts_ms"].to_numpy()
-        n = pdf["n"].to_numpy()
-        keys = pdf[key].to_numpy()
-        out_k, fires, counts = [], [], []
-        for g in range(len(bounds) - 1):
-            lo, hi = int(bounds[g]), int(bounds[g + 1])
-            t_g, i = ts[lo:hi], 0
-            while i < len(t_g):
-                t = int(t_g[i]) + period_ms
-                j = int(np.searchsorted(t_g, t, side="right"))
-                out_k.append(keys[lo])
-                fires.append(t)
-                counts.append(int(n[lo + j - 1]))
-                i = j
-        return pd.DataFrame({key: pd.Series(out_k, dtype=pdf[key].dtype),
-                             "fire_ms": pd.Series(fires, dtype="int64"),
-                             "cnt": pd.Series(counts, dtype="int64")})
-    return chain
+    rows = s.select(key, "_b", F.col(ts_ms).alias("ts_ms"), F.col(tie).alias("tie"),
+                    F.coalesce(F.col(value) > prev, F.lit(False)).alias("arms"),
+                    (prev.isNull() | F.coalesce(F.col(value) < prev, F.lit(False))).alias("resets"))
+    alerts = timer_chains(rows.filter("arms or resets"), key, delay_ms)
+    return alerts.withColumnRenamed("fire_ms", "alert_ms")
 
 
 def list_state_rounds(df: DataFrame, key: str, ts_ms: str, tie: str, period_ms: int,
@@ -123,15 +76,16 @@ def list_state_rounds(df: DataFrame, key: str, ts_ms: str, tie: str, period_ms:
     timer is pending sets one at ts + period; when it fires the key emits how
     many rows it has stored so far.  Output: key, fire_ms, cnt."""
     base = df.select(key, ts_ms, tie)
-    s = keyed_scan(base, [key], ts_ms, tie, sums={"n": F.lit(1)}, lags=[ts_ms], bucket_ms=bucket_ms,
-                   keep_bucket=True)
-    gap = F.col(f"prev_{ts_ms}").isNull() | ((F.col(ts_ms) - F.col(f"prev_{ts_ms}")) > period_ms)
-    s = s.withColumn("_new", gap)
-    g = keyed_scan(s, [key], ts_ms, tie, sums={"stretch": F.col("_new")}, bucket_ms=bucket_ms)
-    key_type = df.schema[key].dataType.simpleString()
-    rows = g.select(key, "stretch", F.col(ts_ms).alias("ts_ms"), "n")
-    return map_sorted_groups(rows, [key, "stretch"], ["ts_ms", "n"], _round_chain(period_ms, key),
-                             f"{key} {key_type}, fire_ms bigint, cnt bigint")
+    s = keyed_scan(base, [key], ts_ms, tie, sums={"n": F.lit(1)}, bucket_ms=_chain_bucket(bucket_ms, period_ms),
+                   target_rows=CHAIN_ROWS, keep_bucket=True)
+    rows = s.select(key, "_b", F.col(ts_ms).alias("ts_ms"), F.col(tie).alias("tie"), F.lit(True).alias("arms"),
+                    F.lit(False).alias("resets"), "n")
+    return timer_chains(rows, key, period_ms, count="n")
+
+
+def _chain_bucket(bucket_ms: int, delay_ms: int) -> int:
+    """Buckets several delays long keep their exit functions small."""
+    return max(bucket_ms, CHAIN_DELAYS * delay_ms)
 
 
 def order_timeouts(orders: DataFrame, key: str, ts_ms: str, type_col: str, within_ms: int,
