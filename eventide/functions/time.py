@@ -69,4 +69,6 @@ def floor_div(col: str | Column, n: int) -> Column:
     """Exact integer floor division of a BIGINT by a positive constant
     (also for negative values, unlike truncating ``div``)."""
     c = F.col(col) if isinstance(col, str) else col
-    return ((c - F.pmod(c, F.lit(n))) / F.lit(n)).cast("long")
+    rest = F.pmod(c, F.lit(n))
+    # Integer division of an exact multiple; ``/`` would go through doubles.
+    return F.call_function("div", c - rest, F.lit(n))

@@ -25,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.functions.time import floor_div
-from eventide.operators.sequence import DEFAULT_TARGET_ROWS, keyed_scan, time_buckets
+from eventide.operators.sequence import DEFAULT_TARGET_ROWS, key_struct, keyed_scan, time_buckets
 
 
 def running_max_before(df: DataFrame, arrival_ms: str, tie: str, values: Mapping[str, Column],
@@ -35,9 +35,10 @@ def running_max_before(df: DataFrame, arrival_ms: str, tie: str, values: Mapping
     arrived strictly earlier (same ``partition_by`` group), null if none."""
     # Arrival buckets; a burst holding too many rows is cut at arrival quantiles.
     x = time_buckets(df, list(partition_by), arrival_ms, bucket_ms, target_rows).withColumnRenamed("_b", "_ab")
+    x = x.withColumn("_key", key_struct(partition_by))
     for n, c in values.items():
         x = x.withColumn(f"_v_{n}", c)
-    pk = list(partition_by)
+    pk = ["_key"]
     stats = x.groupBy(*pk, "_ab").agg(*[F.max(f"_v_{n}").alias(f"_m_{n}") for n in values])
     earlier = Window.partitionBy(*pk).orderBy("_ab").rowsBetween(Window.unboundedPreceding, -1)
     carries = stats.select(*pk, "_ab", *[F.max(f"_m_{n}").over(earlier).alias(f"_c_{n}") for n in values])
@@ -47,7 +48,7 @@ def running_max_before(df: DataFrame, arrival_ms: str, tie: str, values: Mapping
     out = j
     for n in values:
         out = out.withColumn(n, F.greatest(F.col(f"_c_{n}"), F.max(f"_v_{n}").over(inside)))
-    return out.drop("_ab", *[f"_{p}_{n}" for n in values for p in ("v", "c")])
+    return out.drop("_key", "_ab", *[f"_{p}_{n}" for n in values for p in ("v", "c")])
 
 
 def with_watermark_at_arrival(df: DataFrame, arrival_ms: str, tie: str, ts_ms: str,
@@ -107,8 +108,9 @@ def allowed_lateness_counts(df: DataFrame, key: str, arrival_ms: str, tie: str,
     # Late-but-allowed rows, numbered per window in arrival order (skew-safe scan).
     late = keyed_scan(w.filter(F.col("_kind") == 1).select(key, "window_end", arrival_ms, tie),
                       [key, "window_end"], arrival_ms, tie, sums={"_k": F.lit(1)}, bucket_ms=bucket_ms)
-    on = first.select(key, "window_end", F.col("cnt").alias("_n_on"))
-    updates = (late.join(on, on=[key, "window_end"], how="left")
+    late = late.withColumn("_key", key_struct([key, "window_end"]))
+    on = first.select(key_struct([key, "window_end"]).alias("_key"), F.col("cnt").alias("_n_on"))
+    updates = (late.join(on, on="_key", how="left")
                    .withColumn("_n_on", F.coalesce(F.col("_n_on"), F.lit(0)))
                    .select(key, "window_end",
                            (F.col("_k") + F.when(F.col("_n_on") > 0, 1).otherwise(0)).cast("bigint").alias("seq"),
@@ -138,6 +140,8 @@ def cumulative_window_count(df: DataFrame, key: str, ts_ms: str, size_ms: int,
     ``size_ms``, emit at every step end T (a multiple of ``step_ms`` after the
     window start, up to the window end) that lies after the window's first row
     the count of the window's rows with ts < T."""
+    if step_ms <= 0 or size_ms % step_ms:
+        raise ValueError(f"the window of {size_ms} ms is not a multiple of the step of {step_ms} ms")
     n = size_ms // step_ms
     x = (df.select(key, ts_ms)
            .withColumn("window_start", _window_start(ts_ms, size_ms))

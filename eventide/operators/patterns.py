@@ -24,7 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventide.operators.sequence import DEFAULT_TARGET_ROWS, time_buckets
+from eventide.operators.sequence import DEFAULT_TARGET_ROWS, key_struct, time_buckets
 
 
 def with_following(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
@@ -38,10 +38,12 @@ def with_following(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     of a bucket take their followers from a small carry: every bucket's
     first ``n`` rows, shifted back over the following buckets of the key.
     """
+    if n == 0:
+        return df
     b = bucket_ms or max(8 * within_ms, 1)
     fields = list(dict.fromkeys([*cols, ts_ms]))
-    x = time_buckets(df, keys, ts_ms, b, target_rows)
-    w = Window.partitionBy(*keys, "_b").orderBy(ts_ms, tie)
+    x = time_buckets(df, keys, ts_ms, b, target_rows).withColumn("_key", key_struct(keys))
+    w = Window.partitionBy("_key", "_b").orderBy(ts_ms, tie)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     x = (x.withColumn("_row", F.struct(*[F.col(c) for c in fields]))
           .withColumn("_rn", F.row_number().over(w))
@@ -49,19 +51,19 @@ def with_following(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     for i in range(1, n + 1):
         x = x.withColumn(f"_in{i}", F.lead("_row", i).over(w))
     # Each bucket's first n rows (at most n per bucket are collected).
-    heads = (x.filter(F.col("_rn") <= n).groupBy(*keys, "_b")
+    heads = (x.filter(F.col("_rn") <= n).groupBy("_key", "_b")
               .agg(F.sort_array(F.collect_list(F.struct("_rn", "_row"))).alias("_h")))
     heads = heads.withColumn("_h", F.transform("_h", lambda e: e["_row"]))
-    wk = Window.partitionBy(*keys).orderBy("_b")
+    wk = Window.partitionBy("_key").orderBy("_b")
     empty = F.array().cast(heads.schema["_h"].dataType)
     following = [F.coalesce(F.lead("_h", j).over(wk), empty) for j in range(1, n + 1)]
-    carries = heads.select(*keys, "_b", F.slice(F.concat(*following), 1, n).alias("_next"))
-    j = x.join(carries, on=[*keys, "_b"], how="inner")
+    carries = heads.select("_key", "_b", F.slice(F.concat(*following), 1, n).alias("_next"))
+    j = x.join(carries, on=["_key", "_b"], how="inner")
     for i in range(1, n + 1):
         spill = F.try_element_at("_next", (F.col("_rn") + i - F.col("_m")).cast("int"))
         j = j.withColumn(f"next{i}", F.when(F.col("_rn") + i <= F.col("_m"), F.col(f"_in{i}"))
                          .otherwise(spill))
-    return j.drop("_b", "_row", "_rn", "_m", "_next", *[f"_in{i}" for i in range(1, n + 1)])
+    return j.drop("_key", "_b", "_row", "_rn", "_m", "_next", *[f"_in{i}" for i in range(1, n + 1)])
 
 
 def match_sequence(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,

@@ -31,7 +31,11 @@ DEFAULT_BUCKET_MS = 86_400_000
 # A (key, bucket) holding more rows than this is split at approximate ts
 # quantiles, so one task never scans a burst of a hot key alone.
 DEFAULT_TARGET_ROWS = 4_000_000
-_SPLITS = 32
+# Cut points of one hot bucket at most; they are held in one array.
+_MAX_PIECES = 10_000
+# Rows without a time stand before all others, in a bucket of their own (the
+# value leaves room for the decimal order key).
+NO_TIME = -(10 ** 17)
 _TIE_SHIFT = "CAST('100000000000000000000' AS DECIMAL(38,0))"   # 10^20 > 2^64
 _TIE_OFFSET = "CAST('9223372036854775808' AS DECIMAL(38,0))"    # 2^63
 
@@ -43,36 +47,51 @@ def _order_key(df: DataFrame, ts_ms: str, tie: str) -> Column:
     which keeps ``max_by`` a hash aggregate (a struct key would force a
     sort-based aggregate over the whole input); otherwise the struct.
     """
+    ts = F.coalesce(F.col(ts_ms), F.lit(NO_TIME))
     if isinstance(df.schema[tie].dataType, T.IntegralType):
         d = "decimal(38,0)"
-        return (F.col(ts_ms).cast(d) * F.expr(_TIE_SHIFT)
-                + (F.col(tie).cast(d) + F.expr(_TIE_OFFSET)))
-    return F.struct(ts_ms, tie)
+        # A null tie sorts before the smallest one, as in the windows.
+        rank = F.coalesce(F.col(tie).cast(d) + F.expr(_TIE_OFFSET), F.lit(-1).cast(d))
+        return ts.cast(d) * F.expr(_TIE_SHIFT) + rank
+    return F.struct(ts, tie)
+
+
+def key_struct(keys: Sequence[str]) -> Column:
+    """The keys as one value that is never null: rows of a null key belong
+    together, and joins on it match them with a plain equality, so windows
+    reuse the join's partitioning."""
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
 
 
 def time_buckets(df: DataFrame, keys: Sequence[str], ts_ms: str, bucket_ms: int,
                  target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add ``_b``: a bucket id per row, non-decreasing in ts within a key.
 
-    Buckets are ``bucket_ms`` wide.  A (key, bucket) with more than
-    ``target_rows`` rows is cut at ``_SPLITS - 1`` approximate quantiles of
-    its ts, computed on the rows of hot buckets only; the small table of cut
-    points is joined back (AQE broadcasts it when its measured size allows).
-    Rows with the same ts always share a bucket.
+    Buckets are ``bucket_ms`` wide.  The largest (key, bucket) is counted
+    first, one number.  If it has more than ``target_rows`` rows, every bucket
+    above the target is cut at approximate ts quantiles into as many pieces as
+    the largest one needs (twice its rows over the target, for the quantiles'
+    error); the small table of cut points is joined back (AQE broadcasts it
+    when its measured size allows).  Rows with the same ts share a bucket, and
+    rows without one have a bucket of their own, before all others.
     """
-    keys = list(keys)
-    x = df.withColumn("_cb", floor_div(F.col(ts_ms), bucket_ms))
+    x = df.withColumn("_b", F.coalesce(floor_div(F.col(ts_ms), bucket_ms), F.lit(NO_TIME)))
     if not target_rows:
-        return x.withColumnRenamed("_cb", "_b")
-    sizes = x.groupBy(*keys, "_cb").agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > target_rows).select(*keys, "_cb")
-    probs = [i / _SPLITS for i in range(1, _SPLITS)]
-    cuts = (x.join(hot, on=[*keys, "_cb"], how="left_semi")
-              .groupBy(*keys, "_cb")
-              .agg(F.percentile_approx(ts_ms, probs, 10_000).alias("_cuts")))
-    x = x.join(cuts, on=[*keys, "_cb"], how="left")
+        return x
+    x = x.withColumn("_hk", key_struct(keys))
+    sizes = x.groupBy("_hk", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= target_rows:
+        return x.drop("_hk")
+    pieces = min(_MAX_PIECES, -(-2 * largest // target_rows))
+    hot = sizes.filter(F.col("_n") > target_rows).select("_hk", "_b")
+    probs = [i / pieces for i in range(1, pieces)]
+    cuts = (x.join(hot, on=["_hk", "_b"], how="left_semi").groupBy("_hk", "_b")
+              .agg(F.percentile_approx(ts_ms, probs, max(10_000, 20 * pieces)).alias("_cuts")))
+    x = x.join(cuts, on=["_hk", "_b"], how="left")
     sub = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(ts_ms))), F.lit(0))
-    return x.withColumn("_b", F.col("_cb") * _SPLITS + sub).drop("_cb", "_cuts")
+    whole = F.greatest(F.col("_b"), F.lit(NO_TIME // (2 * _MAX_PIECES)))
+    return x.withColumn("_b", whole * (2 * _MAX_PIECES) + sub).drop("_hk", "_cuts")
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
@@ -95,6 +114,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     sums = dict(sums or {})
     keys = list(keys)
     x = df if "_b" in df.columns else time_buckets(df, keys, ts_ms, bucket_ms, target_rows)
+    x = x.withColumn("_key", key_struct(keys))
     for n, c in sums.items():
         x = x.withColumn(f"_i_{n}", c.cast("long"))
 
@@ -104,15 +124,15 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
         aggs.append(F.max_by(F.col(c), order).alias(f"_last_{c}"))
     if not aggs:
         aggs.append(F.count(F.lit(1)).alias("_n"))
-    stats = x.groupBy(*keys, "_b").agg(*aggs)
-    wk = Window.partitionBy(*keys).orderBy("_b")
+    stats = x.groupBy("_key", "_b").agg(*aggs)
+    wk = Window.partitionBy("_key").orderBy("_b")
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
     carry = [F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums]
     carry += [F.lag(f"_last_{c}").over(wk).alias(f"_plast_{c}") for c in lags]
-    carries = stats.select(*keys, "_b", *carry)
+    carries = stats.select("_key", "_b", *carry)
 
-    j = x.join(carries, on=[*keys, "_b"], how="inner")
-    wb = Window.partitionBy(*keys, "_b").orderBy(ts_ms, tie)
+    j = x.join(carries, on=["_key", "_b"], how="inner")
+    wb = Window.partitionBy("_key", "_b").orderBy(ts_ms, tie)
     upto = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = j
     for n in sums:
@@ -122,6 +142,6 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
         for c in lags:
             out = out.withColumn(f"prev_{c}", F.when(first, F.col(f"_plast_{c}"))
                                  .otherwise(F.lag(c).over(wb)))
-    drop = ([] if keep_bucket else ["_b"]) + ([f"_i_{n}" for n in sums] + [f"_o_{n}" for n in sums]
+    drop = ["_key"] + ([] if keep_bucket else ["_b"]) + ([f"_i_{n}" for n in sums] + [f"_o_{n}" for n in sums]
             + [f"_plast_{c}" for c in lags])
     return out.drop(*[d for d in drop if d in out.columns])
