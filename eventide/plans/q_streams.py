@@ -17,7 +17,9 @@ from eventide.plans import q_distinct, q_joins, q_patterns, q_state, q_topn, q_w
 from eventide.plans.registry import REGISTRY, query
 from eventide.sources import tables as S
 from eventide.streaming import processors as P
-from eventide.streaming.runner import append_batches, events_flush_row, latest_complete, run_bounded
+from eventide.functions.time import epoch_ms_of
+from eventide.streaming.runner import (
+    FLUSH_MS, append_batches, bounded_delay, events_flush_row, latest_complete, run_bounded)
 from eventide.streaming.sources import event_stream
 
 HOUR = 3_600_000
@@ -36,10 +38,11 @@ def _oracle(name: str) -> str | None:
 
 def _run(spark, sf, build, purpose, **kw) -> DataFrame:
     path = f"{sf.rstrip('/')}/events.parquet"
-    schema = S.read_table(spark, sf, "events").schema
+    table = S.read_table(spark, sf, "events")
     flush = kw.pop("flush", True)
-    return run_bounded(spark, path, schema, lambda s: build(event_stream(s)), purpose,
-                       flush=events_flush_row(spark) if flush else None,
+    delay = f"{bounded_delay(table, epoch_ms_of(table, 'ts'))} milliseconds"
+    return run_bounded(spark, path, table.schema, lambda s: build(event_stream(s, delay)), purpose,
+                       flush=events_flush_row(spark, table) if flush else None,
                        max_files_per_trigger=MAX_FILES_PER_TRIGGER, **kw)
 
 
@@ -196,7 +199,9 @@ def stream_order_timeout(spark, sf):
 def stream_gate(spark, sf):
     """G5 on a stream: switches and readings of a user in one keyed processor."""
     def build(s):
-        x = s.select("event_id", "user_id", "ts_ms", F.col("value").alias("temperature"),
+        # A null user matches no switch, as in the join of the batch twin.
+        x = s.filter(F.col("user_id").isNotNull()).select(
+                     "event_id", "user_id", "ts_ms", F.col("value").alias("temperature"),
                      (F.col("event_type") == "signup").alias("is_switch"),
                      ((F.col("event_id") % 24 + 1) * HOUR).alias("dur_ms"))
         return _tws(x, "user_id", P.SwitchGate("user_id"),
@@ -221,7 +226,7 @@ def _reconcile_stream(spark, sf, purpose):
             "o_user", "order_event_id", "order_ts", "p_user", "pay_event_id", "pay_ts")
 
     def drop_flush(batch):
-        return batch.filter(F.coalesce(F.col("o_user"), F.col("p_user")) >= 0)
+        return batch.filter(F.coalesce(F.col("order_ts"), F.col("pay_ts"), F.lit(0)) != FLUSH_MS)
     return _run(spark, sf, build, purpose, batch_writer=append_batches(drop_flush))
 
 
@@ -229,7 +234,7 @@ def _reconcile_stream(spark, sf, purpose):
 def stream_reconcile_matched(spark, sf):
     """G3 matched pairs from the streaming full outer join."""
     out = _reconcile_stream(spark, sf, "stream_reconcile_matched")
-    return out.filter(F.col("o_user").isNotNull() & F.col("p_user").isNotNull()).select(
+    return out.filter(F.col("order_event_id").isNotNull() & F.col("pay_event_id").isNotNull()).select(
         F.col("o_user").alias("user_id"), "order_event_id", "order_ts", "pay_event_id", "pay_ts")
 
 
@@ -237,7 +242,7 @@ def stream_reconcile_matched(spark, sf):
 def stream_reconcile_unmatched_orders(spark, sf):
     """G3 orders without a payment, released by the watermark."""
     out = _reconcile_stream(spark, sf, "stream_reconcile_unmatched_orders")
-    return out.filter(F.col("p_user").isNull()).select(
+    return out.filter(F.col("pay_event_id").isNull()).select(
         F.col("o_user").alias("user_id"), "order_event_id", "order_ts")
 
 
@@ -245,7 +250,7 @@ def stream_reconcile_unmatched_orders(spark, sf):
 def stream_reconcile_unmatched_pays(spark, sf):
     """G3 payments without an order, released by the watermark."""
     out = _reconcile_stream(spark, sf, "stream_reconcile_unmatched_pays")
-    return out.filter(F.col("o_user").isNull()).select(
+    return out.filter(F.col("order_event_id").isNull()).select(
         F.col("p_user").alias("user_id"), "pay_event_id", "pay_ts")
 
 

@@ -8,7 +8,6 @@ absent, which happens in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,7 +49,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Local runs only: a cluster always names a shared folder.
+        # Local runs only: on a cluster a folder of this machine would lose
+        # what other machines write, so one must be named.
+        master = spark.sparkContext.master
+        if not is_one_machine(master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="eventide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -58,12 +61,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def is_one_machine(master: str) -> bool:
+    """``local``, ``local[4]``, ``local[*, 2]``; not ``local-cluster[...]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique folder under the shared checkpoint root, made through
+    whatever file system it names."""
     root = ensure_checkpoint_dir(spark)
     path = f"{root}/eventide/{purpose}/{uuid.uuid4().hex}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
 
 
@@ -78,6 +87,7 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -85,6 +95,5 @@ def ensure_rocksdb_state_store(spark: SparkSession) -> None:
     """Stateful processors (``transformWithState``) need the RocksDB state
     store; it is also the provider to use for large state.  Set it when the
     session names another provider (it is read when a query starts)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
+    if spark.conf.get(STATE_STORE, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(STATE_STORE, ROCKSDB_PROVIDER)

@@ -1,31 +1,34 @@
 """Stateful processors for ``transformWithState``.
 
-Rows of a key reach ``handleInputRows`` once per micro-batch, unordered.  Each
-processor sorts them by (ts, tie) and walks them; a timer that is due
-before a row (``T < row.ts``) is fired inline, which is the same rule the
-batch twins use.  Whatever is still pending at the end of the batch becomes
-a real event-time timer, fired by ``handleExpiredTimer`` once the watermark
-passes it.  State per key is O(1) -- or the creates still inside their
-deadline (I5), or the switches the watermark has not passed (G5) -- held in
-the RocksDB state store and checkpointed with the query.
+Rows of a key reach ``handleInputRows`` in any order within the watermark
+delay.  Processors that depend on order keep them in list state, packed as
+the few fields they need, until the watermark has passed them; then no
+earlier row can come, and they are walked in (ts, tie) order.  A timer that
+is due before a row (``T < row.ts``) is fired inline, and one that the
+watermark has passed is fired after the walk -- the same rule the batch twins
+use.  One timer per key wakes the processor at its next waiting row or
+deadline.  State per key is the rows within the delay plus O(1) -- or the
+creates still inside their deadline (I5), or the switches that can still
+matter (G5) -- held in the RocksDB state store and checkpointed with the query.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import deque
+
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 _NO_TIMER = -1
-
-
-def _sorted(rows, ts: str, tie: str):
-    return sorted(rows, key=lambda r: (r[ts], r[tie]))
+# Rows without a time come first.
+_NO_TIME = -(1 << 62)
 
 
 class DeadlineTimers(StatefulProcessor):
     """Every row sets an event-time timer at ts + delay; each firing emits
     (key, fire_ms).  Re-registering the same time is a no-op, so each
-    (key, time) fires once."""
+    (key, time) fires once.  Order does not matter."""
 
     def __init__(self, key: str, delay_ms: int, ts: str = "ts_ms"):
         self.key, self.delay, self.ts = key, delay_ms, ts
@@ -34,8 +37,9 @@ class DeadlineTimers(StatefulProcessor):
         self.handle = handle
 
     def handleInputRows(self, key, rows, timerValues):
-        for r in rows:
-            self.handle.registerTimer(r[self.ts] + self.delay)
+        for t in {r[self.ts] for r in rows}:
+            if t is not None:
+                self.handle.registerTimer(t + self.delay)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -45,274 +49,274 @@ class DeadlineTimers(StatefulProcessor):
         pass
 
 
-class _InlineTimer(StatefulProcessor):
-    """Base: one pending timer kept in state as well as registered."""
+class InOrder(StatefulProcessor):
+    """Rows of a key in (ts, tie) order, once the watermark has passed them.
 
-    def _timer(self) -> int:
-        return self.timer.get()[0] if self.timer.exists() else _NO_TIMER
+    ``fields`` maps each column a subclass reads to its SQL type; the time and
+    the tie come first.  Subclasses give ``open`` (their state), ``walk`` (rows
+    in order, as tuples of the fields; returns output rows) and ``next_due``
+    (their own pending deadline, or ``_NO_TIMER``)."""
 
-    def _set_timer(self, t: int) -> None:
-        old = self._timer()
-        if old != _NO_TIMER and old != t:
-            self.handle.deleteTimer(old)
-        if t == _NO_TIMER:
-            self.timer.clear()
-        else:
-            if old != t:
-                self.handle.registerTimer(t)
-            self.timer.update((t,))
+    def __init__(self, fields: dict[str, str]):
+        self.fields = fields
 
+    def init(self, handle) -> None:
+        self.handle = handle
+        schema = ", ".join(f"{name} {kind}" for name, kind in self.fields.items())
+        self.waiting = handle.getListState("waiting", schema)
+        self.open()
 
-class RisingAlert(_InlineTimer):
-    """Alert when the value has kept rising (no drop) for ``delay_ms``."""
+    def open(self) -> None:
+        pass
 
-    def __init__(self, key: str, value: str, delay_ms: int, ts: str = "ts_ms", tie: str = "event_id"):
-        self.key, self.value, self.delay, self.ts, self.tie = key, value, delay_ms, ts, tie
+    def walk(self, key, rows: list[tuple], watermark: int) -> list[Row]:
+        raise NotImplementedError
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "v double")
-        self.timer = handle.getValueState("timer", "t long")
+    def next_due(self) -> int:
+        return _NO_TIMER
 
     def handleInputRows(self, key, rows, timerValues):
-        out = []
-        last = self.last.get()[0] if self.last.exists() else None
-        timer = self._timer()
-        for r in _sorted(rows, self.ts, self.tie):
-            if timer != _NO_TIMER and r[self.ts] > timer:
-                out.append(Row(**{self.key: key[0], "alert_ms": timer}))
-                timer = _NO_TIMER
-            prev, last = last, r[self.value]
-            if prev is None or last < prev:
-                timer = _NO_TIMER
-            elif last > prev and timer == _NO_TIMER:
-                timer = r[self.ts] + self.delay
-        self.last.update((last,))
-        self._set_timer(timer)
-        return iter(out)
+        fresh = [tuple(r[f] for f in self.fields) for r in rows]
+        if fresh:
+            self.waiting.appendList(fresh)
+            self._wake(min(_time(r) for r in fresh))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        if self._timer() == t:
-            self.timer.clear()
-            yield Row(**{self.key: key[0], "alert_ms": t})
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        ready = sorted((r for r in held if _time(r) <= watermark), key=lambda r: (_time(r), r[1] is not None, r[1]))
+        rest = [r for r in held if _time(r) > watermark]
+        if ready:
+            self.waiting.put(rest) if rest else self.waiting.clear()
+        out = self.walk(key, ready, watermark)
+        if rest:
+            self._wake(min(map(_time, rest)))
+        if (due := self.next_due()) != _NO_TIMER:
+            self._wake(due)
+        return iter(out)
+
+    def _wake(self, t: int) -> None:
+        self.handle.registerTimer(max(t, 0))
 
     def close(self) -> None:
         pass
 
 
-class ListStateRounds(_InlineTimer):
+def _time(row: tuple) -> int:
+    return _NO_TIME if row[0] is None else row[0]
+
+
+class RisingAlert(InOrder):
+    """Alert when the value has kept rising (no drop) for ``delay_ms``."""
+
+    def __init__(self, key: str, value: str, delay_ms: int, ts: str = "ts_ms", tie: str = "event_id"):
+        super().__init__({ts: "long", tie: "long", value: "double"})
+        self.key, self.delay = key, delay_ms
+
+    def open(self) -> None:
+        self.last = self.handle.getValueState("last", "v double, seen boolean")
+        self.due = self.handle.getValueState("due", "t long")
+
+    def next_due(self) -> int:
+        return self.due.get()[0] if self.due.exists() else _NO_TIMER
+
+    def walk(self, key, rows, watermark):
+        out, due = [], self.next_due()
+        last, seen = tuple(self.last.get()) if self.last.exists() else (None, False)
+        for ts, _, value in rows:
+            if due != _NO_TIMER and ts is not None and ts > due:
+                out.append(Row(**{self.key: key[0], "alert_ms": due}))
+                due = _NO_TIMER
+            if last is None or (value is not None and value < last):
+                due = _NO_TIMER
+            elif value is not None and value > last and due == _NO_TIMER and ts is not None:
+                due = ts + self.delay
+            last, seen = value, True
+        if due != _NO_TIMER and due <= watermark:
+            out.append(Row(**{self.key: key[0], "alert_ms": due}))
+            due = _NO_TIMER
+        if rows:
+            self.last.update((last, seen))
+        self.due.clear() if due == _NO_TIMER else self.due.update((due,))
+        return out
+
+
+class ListStateRounds(InOrder):
     """I4: count rows forever; the first row while no timer is pending sets one
     at ts + period; a firing emits the count stored so far."""
 
     def __init__(self, key: str, period_ms: int, ts: str = "ts_ms", tie: str = "event_id"):
-        self.key, self.period, self.ts, self.tie = key, period_ms, ts, tie
+        super().__init__({ts: "long", tie: "long"})
+        self.key, self.period = key, period_ms
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.count = handle.getValueState("count", "n long")
-        self.timer = handle.getValueState("timer", "t long")
+    def open(self) -> None:
+        self.count = self.handle.getValueState("count", "n long")
+        self.due = self.handle.getValueState("due", "t long")
 
-    def handleInputRows(self, key, rows, timerValues):
-        out = []
+    def next_due(self) -> int:
+        return self.due.get()[0] if self.due.exists() else _NO_TIMER
+
+    def walk(self, key, rows, watermark):
+        out, due = [], self.next_due()
         n = self.count.get()[0] if self.count.exists() else 0
-        timer = self._timer()
-        for r in _sorted(rows, self.ts, self.tie):
-            if timer != _NO_TIMER and r[self.ts] > timer:
-                out.append(Row(**{self.key: key[0], "fire_ms": timer, "cnt": n}))
-                timer = _NO_TIMER
+        for ts, _ in rows:
+            if due != _NO_TIMER and ts is not None and ts > due:
+                out.append(Row(**{self.key: key[0], "fire_ms": due, "cnt": n}))
+                due = _NO_TIMER
             n += 1
-            if timer == _NO_TIMER:
-                timer = r[self.ts] + self.period
-        self.count.update((n,))
-        self._set_timer(timer)
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        if self._timer() == t:
-            self.timer.clear()
-            yield Row(**{self.key: key[0], "fire_ms": t, "cnt": self.count.get()[0]})
-
-    def close(self) -> None:
-        pass
-
-
-class PendingCreates(StatefulProcessor):
+            if due == _NO_TIMER and ts is not None:
+                due = ts + self.period
+        if due != _NO_TIMER and due <= watermark:
+            out.append(Row(**{self.key: key[0], "fire_ms": due, "cnt": n}))
+            due = _NO_TIMER
+        if rows:
+            self.count.update((n,))
+        self.due.clear() if due == _NO_TIMER else self.due.update((due,))
+        return out
+
+
+class PendingCreates(InOrder):
     """A create waits ``within_ms`` for a later payment of its key
     (inclusive deadline); a payment settles every create up to ``within_ms``
-    before it.  Unsettled creates time out when their timer fires."""
+    before it.  Pending creates stand in order of their time, so deadlines
+    pass and payments settle from the front."""
 
     def __init__(self, key: str, within_ms: int, ts: str = "ts_ms", tie: str = "event_id",
                  type_col: str = "event_type", create: str = "create"):
-        self.key, self.within, self.ts, self.tie = key, within_ms, ts, tie
-        self.type_col, self.create = type_col, create
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.pending = handle.getListState("pending", "event_id long, ts_ms long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        pending = [tuple(p) for p in self.pending.get()] if self.pending.exists() else []
-        out = []
-        for r in _sorted(rows, self.ts, self.tie):
-            t = r[self.ts]
-            keep = []
-            for pid, pts in pending:
-                if pts + self.within < t:      # deadline passed before this row
-                    out.append(Row(**{self.key: key[0], "event_id": pid, "ts_ms": pts,
-                                      "deadline_ms": pts + self.within}))
-                elif r[self.type_col] != self.create and pts < t:
-                    continue                   # settled by this payment
-                else:
-                    keep.append((pid, pts))
-            pending = keep
-            if r[self.type_col] == self.create:
-                pending.append((r[self.tie], t))
-                self.handle.registerTimer(t + self.within)
-        if pending:
-            self.pending.put(pending)
-        else:
-            self.pending.clear()
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        pending = [tuple(p) for p in self.pending.get()] if self.pending.exists() else []
-        due = [(pid, pts) for pid, pts in pending if pts + self.within <= t]
-        rest = [(pid, pts) for pid, pts in pending if pts + self.within > t]
-        if rest:
-            self.pending.put(rest)
-        else:
-            self.pending.clear()
-        for pid, pts in due:
-            yield Row(**{self.key: key[0], "event_id": pid, "ts_ms": pts, "deadline_ms": pts + self.within})
-
-    def close(self) -> None:
-        pass
-
-
-class ConsecutiveFails(StatefulProcessor):
+        super().__init__({ts: "long", tie: "long", type_col: "string"})
+        self.key, self.within, self.create = key, within_ms, create
+
+    def open(self) -> None:
+        self.pending = self.handle.getListState("pending", "event_id long, ts_ms long")
+
+    def next_due(self) -> int:
+        first = next(iter(self.pending.get()), None) if self.pending.exists() else None
+        return _NO_TIMER if first is None else tuple(first)[1] + self.within
+
+    def _timeout(self, key, item):
+        return Row(**{self.key: key[0], "event_id": item[0], "ts_ms": item[1], "deadline_ms": item[1] + self.within})
+
+    def walk(self, key, rows, watermark):
+        pending, out = deque(tuple(p) for p in self.pending.get()) if self.pending.exists() else deque(), []
+        for ts, event_id, kind in rows:
+            if ts is None:
+                continue
+            while pending and pending[0][1] + self.within < ts:      # deadline passed before this row
+                out.append(self._timeout(key, pending.popleft()))
+            if kind == self.create:
+                pending.append((event_id, ts))
+            elif key[0] is not None:                                 # null keys match nothing
+                while pending and pending[0][1] < ts:                # settled by this payment
+                    pending.popleft()
+        while pending and pending[0][1] + self.within <= watermark:
+            out.append(self._timeout(key, pending.popleft()))
+        self.pending.put(list(pending)) if pending else self.pending.clear()
+        return out
+
+
+class ConsecutiveFails(InOrder):
     """H1: three consecutive events of a key, all matching, within the limit.
     State: the key's last two events."""
 
     def __init__(self, key: str, kind_col: str, kind: str, within_ms: int, ip: str = "ip_addr",
                  ts: str = "ts_ms", tie: str = "event_id"):
-        self.key, self.kind_col, self.kind, self.within = key, kind_col, kind, within_ms
-        self.ip, self.ts, self.tie = ip, ts, tie
+        super().__init__({ts: "long", tie: "long", kind_col: "string", ip: "string"})
+        self.key, self.kind, self.within = key, kind, within_ms
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.recent = handle.getListState("recent", "ts_ms long, is_kind boolean, ip string")
+    def open(self) -> None:
+        self.recent = self.handle.getListState("recent", "ts_ms long, is_kind boolean, ip string")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def walk(self, key, rows, watermark):
         recent = [tuple(x) for x in self.recent.get()] if self.recent.exists() else []
         out = []
-        for r in _sorted(rows, self.ts, self.tie):
-            recent = (recent + [(r[self.ts], r[self.kind_col] == self.kind, r[self.ip])])[-3:]
-            if len(recent) == 3 and all(x[1] for x in recent) and recent[2][0] - recent[0][0] < self.within:
+        for ts, _, kind, ip in rows:
+            recent = (recent + [(ts, kind == self.kind, ip)])[-3:]
+            if (len(recent) == 3 and all(x[1] and x[0] is not None for x in recent)
+                    and recent[2][0] - recent[0][0] < self.within):
                 out.append(Row(**{self.key: key[0], "first_ts": recent[0][0], "ip1": recent[0][2],
                                   "ip2": recent[1][2], "ip3": recent[2][2]}))
-        self.recent.put(recent[-2:])
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        return iter(())
+        if rows:
+            self.recent.put(recent[-2:])
+        return out
 
-    def close(self) -> None:
-        pass
 
-
-class FollowedBy(_InlineTimer):
+class FollowedBy(InOrder):
     """H2: a ``first`` event immediately followed by a ``second`` event of the
     same key within ``within_ms`` (exclusive).  A pending ``first`` times out
     when the key's next event is not earlier than its deadline (inline) or
-    when the watermark passes the deadline (timer); a next event in time but
-    of another type discards it.  Emits ``kind`` = match (two rows) / timeout."""
+    when the watermark passes the deadline; a next event in time but of
+    another type discards it.  Emits ``kind`` = match (two rows) / timeout."""
 
     def __init__(self, key: str, type_col: str, first: str, second: str, within_ms: int,
                  ts: str = "ts_ms", tie: str = "event_id"):
-        self.key, self.type_col, self.first, self.second = key, type_col, first, second
-        self.within, self.ts, self.tie = within_ms, ts, tie
+        super().__init__({ts: "long", tie: "long", type_col: "string"})
+        self.key, self.first, self.second, self.within = key, first, second, within_ms
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.pending = handle.getValueState("pending", "event_id long, ts_ms long, event_type string")
-        self.timer = handle.getValueState("timer", "t long")
+    def open(self) -> None:
+        self.pending = self.handle.getValueState("pending", "ts_ms long, event_id long, event_type string")
 
-    def _row(self, key, kind, match_id, eid, etype, ts):
-        return Row(**{"kind": kind, self.key: key[0], "match_id": match_id, "event_id": eid,
-                      "event_type": etype, "ts_ms": ts, "deadline_ms": ts + self.within})
+    def next_due(self) -> int:
+        return self.pending.get()[0] + self.within if self.pending.exists() else _NO_TIMER
 
-    def handleInputRows(self, key, rows, timerValues):
-        out = []
-        p = tuple(self.pending.get()) if self.pending.exists() else None
-        for r in _sorted(rows, self.ts, self.tie):
+    def _row(self, key, kind, match_id, item):
+        return Row(**{"kind": kind, self.key: key[0], "match_id": match_id, "event_id": item[1],
+                      "event_type": item[2], "ts_ms": item[0], "deadline_ms": item[0] + self.within})
+
+    def walk(self, key, rows, watermark):
+        out, p = [], tuple(self.pending.get()) if self.pending.exists() else None
+        for item in rows:
             if p is not None:
-                pid, pts, ptype = p
-                if r[self.ts] - pts >= self.within:
-                    out.append(self._row(key, "timeout", pid, pid, ptype, pts))
-                elif r[self.type_col] == self.second:
-                    out.append(self._row(key, "match", pid, pid, ptype, pts))
-                    out.append(self._row(key, "match", pid, r[self.tie], r[self.type_col], r[self.ts]))
+                if item[0] - p[0] >= self.within:
+                    out.append(self._row(key, "timeout", p[1], p))
+                elif item[2] == self.second:
+                    out += [self._row(key, "match", p[1], p), self._row(key, "match", p[1], item)]
                 p = None
-            if r[self.type_col] == self.first:
-                p = (r[self.tie], r[self.ts], r[self.type_col])
-        if p is None:
-            self.pending.clear()
-            self._set_timer(_NO_TIMER)
-        else:
-            self.pending.update(p)
-            self._set_timer(p[1] + self.within)
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        if self._timer() == t and self.pending.exists():
-            pid, pts, ptype = tuple(self.pending.get())
-            self.pending.clear()
-            self.timer.clear()
-            yield self._row(key, "timeout", pid, pid, ptype, pts)
-
-    def close(self) -> None:
-        pass
+            if item[2] == self.first and item[0] is not None:
+                p = item
+        if p is not None and p[0] + self.within <= watermark:
+            out.append(self._row(key, "timeout", p[1], p))
+            p = None
+        self.pending.clear() if p is None else self.pending.update(p)
+        return out
 
 
-class SwitchGate(StatefulProcessor):
+class SwitchGate(InOrder):
     """Forward a key's readings while one of its switches is on.  A
-    switch row opens ``[ts, ts + dur)``; intervals the watermark has passed
-    are evicted, so state holds only switches that can still matter."""
-
-    def __init__(self, key: str, is_switch: str = "is_switch", dur: str = "dur_ms",
-                 ts: str = "ts_ms", tie: str = "event_id", out_cols=("event_id", "user_id", "ts_ms", "temperature")):
-        self.key, self.is_switch, self.dur, self.ts, self.tie = key, is_switch, dur, ts, tie
-        self.out_cols = list(out_cols)
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", "start long, end long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        wm = timerValues.getCurrentWatermarkInMs()
-        spans = [tuple(x) for x in self.open.get()] if self.open.exists() else []
-        spans = [s for s in spans if s[1] > wm]
-        out = []
-        for r in _sorted(rows, self.ts, self.tie):
-            if r[self.is_switch]:
-                spans.append((r[self.ts], r[self.ts] + r[self.dur]))
-            elif any(s <= r[self.ts] < e for s, e in spans):
-                out.append(Row(**{c: r[c] for c in self.out_cols}))
-        if spans:
-            self.open.put(spans)
+    switch row opens ``[ts, ts + dur)``.  Rows come in order, so only the
+    latest end of the open switches matters."""
+
+    def __init__(self, key: str, is_switch: str = "is_switch", dur: str = "dur_ms", ts: str = "ts_ms", tie: str = "event_id",
+                 out_cols=("event_id", "user_id", "ts_ms", "temperature"),
+                 out_types=("long", "long", "long", "double")):
+        super().__init__({ts: "long", tie: "long", is_switch: "boolean", dur: "long",
+                          **{c: t for c, t in zip(out_cols, out_types, strict=True) if c not in (ts, tie, key)}})
+        self.key, self.ts, self.out_cols = key, ts, list(out_cols)
+
+    def open(self) -> None:
+        self.until = self.handle.getValueState("until", "end long")
+
+    def walk(self, key, rows, watermark):
+        names, out = list(self.fields), []
+        until = self.until.get()[0] if self.until.exists() else _NO_TIME
+        # A switch counts for every reading at its own time, whatever their ids.
+        opening = [(r[0], r[0] + r[3]) for r in rows if r[2] and r[0] is not None and r[3] is not None]
+        ends, top = [], until
+        for _, end in opening:
+            top = max(top, end)
+            ends.append(top)
+        starts = [s for s, _ in opening]
+        for r in rows:
+            if not r[2] and r[0] is not None:
+                k = bisect_right(starts, r[0])
+                if r[0] < (ends[k - 1] if k else until):
+                    row = dict(zip(names, r, strict=True)) | {self.key: key[0]}
+                    out.append(Row(**{c: row[c] for c in self.out_cols}))
+        if top > watermark:
+            self.until.update((top,))
         else:
-            self.open.clear()
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        return iter(())
-
-    def close(self) -> None:
-        pass
+            self.until.clear()
+        return out
 
 
 class ProcessingTimeDeadline(StatefulProcessor):

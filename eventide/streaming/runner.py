@@ -17,27 +17,33 @@ nothing and their own windows and timers lie beyond the watermark).
 
 from __future__ import annotations
 
+import contextlib
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventide.session import ensure_rocksdb_state_store, scratch_path
+from eventide.session import ROCKSDB_PROVIDER, STATE_STORE, scratch_path
 
 FLUSH_TS = "2100-01-01 00:00:00"
+FLUSH_MS = 4_102_444_800_000
+# Input of one micro-batch (bytes of files); a file is never split.
+MAX_BYTES_PER_TRIGGER = 8 << 30
 
 
-def events_flush_row(spark: SparkSession) -> DataFrame:
-    """Far-future flush rows shaped like the events table: one per event type,
-    each with its own negative key.
+def events_flush_row(spark: SparkSession, table: DataFrame) -> DataFrame:
+    """Far-future flush rows shaped like the events table: one per event type
+    found in it, each with a key below every key of the table.
 
     Catalyst pushes filters that do not read the event-time column below the
     watermark, so a flush row must survive the operator's own filters to
     reach it; one row per type does, whatever type the operator keeps.
     """
-    types = ["click", "error", "purchase", "signup", "view"]
-    rows = [(-(i + 1), t) for i, t in enumerate(types)]
-    # Each flush row has its own negative key, so no key ever holds two of
-    # them: no pattern, join or timer chain can form among flush rows.
+    types = [r[0] for r in table.select("event_type").distinct().collect()]
+    low = table.agg(F.least(F.min("user_id"), F.min("event_id"), F.lit(0))).first()[0]
+    rows = [(low - 1 - i, t) for i, t in enumerate(sorted(types, key=lambda t: (t is None, t)))]
+    # Each flush row has its own key, so no key ever holds two of them: no
+    # pattern, join or timer chain can form among flush rows.
     return (spark.createDataFrame(rows, "k long, event_type string")
                 .select(F.col("k").alias("event_id"),
                         F.lit(FLUSH_TS).cast("timestamp_ntz").alias("ts"),
@@ -47,6 +53,26 @@ def events_flush_row(spark: SparkSession) -> DataFrame:
                         F.lit(None).cast("string").alias("props")))
 
 
+def bounded_delay(table: DataFrame, ts_ms: Column) -> int:
+    """Watermark delay (ms) that loses no row of a bounded file stream.
+
+    Files are read oldest first, each whole, so a row can only be late against
+    earlier files: the delay is the largest lag of a file's smallest time
+    behind the largest time before it.  Files of one modification time may be
+    read in any order.  One row per file is looked at.
+    """
+    spans = (table.select(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"),
+                          ts_ms.alias("t"))
+             .groupBy("at", "file").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).filter("lo is not null"))
+    times = spans.groupBy("at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n")).orderBy("at").collect()
+    lag, top = 0, None
+    for r in times:
+        before = max(x for x in (top, r["hi"] if r["n"] > 1 else None, r["lo"]) if x is not None)
+        lag = max(lag, before - r["lo"])
+        top = r["hi"] if top is None else max(top, r["hi"])
+    return lag
+
+
 def _has_files(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds any parquet file, on whatever file system it names."""
     p, fs = _hadoop_fs(spark, path)
@@ -65,6 +91,11 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def fs_has_tables(spark: SparkSession, out: str) -> bool:
+    p, fs = _hadoop_fs(spark, out)
+    return any(f.getPath().getName().startswith("table=") for f in fs.listStatus(p))
+
+
 def stream_path(spark: SparkSession, path: str) -> str:
     """A path a file stream accepts.  File sources watch folders; a single
     table file is addressed by a glob that matches just that file."""
@@ -77,27 +108,54 @@ def stream_path(spark: SparkSession, path: str) -> str:
 def run_bounded(spark: SparkSession, source_path: str, schema, build: Callable[[DataFrame], DataFrame],
                 purpose: str, output_mode: str = "append",
                 batch_writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
-                flush: DataFrame | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                flush: DataFrame | None = None, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
     """Stream the table at ``source_path`` in place through ``build``, with
     ``availableNow``; optionally restart once with ``flush`` rows; return the
     sink's contents as a batch DataFrame.
 
     The input is not copied: the stream reads the table's own files, unioned
-    with a flush folder that stays empty until the restart.
+    with a flush folder that stays empty until the restart.  A micro-batch
+    takes ``max_bytes_per_trigger`` of files, or ``max_files_per_trigger``.
+
+    Raises if any row came too late for the watermark, or if rows were read
+    and the sink's folder is missing: a run is whole or it fails.
     """
-    ensure_rocksdb_state_store(spark)
+    with stream_settings(spark):
+        return _run_bounded(spark, source_path, schema, build, purpose, output_mode, batch_writer, flush,
+                            max_files_per_trigger, max_bytes_per_trigger)
+
+
+@contextlib.contextmanager
+def stream_settings(spark: SparkSession):
+    """The settings of a bounded run; the caller's own come back afterwards."""
+    keys = {STATE_STORE: ROCKSDB_PROVIDER, "spark.sql.streaming.numRecentProgressUpdates": "1000000"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _run_bounded(spark, source_path, schema, build, purpose, output_mode, batch_writer, flush,
+                 max_files_per_trigger, max_bytes_per_trigger) -> DataFrame:
     base = scratch_path(spark, purpose)
     flush_dir, out, ck = f"{base}/flush", f"{base}/output", f"{base}/checkpoint"
     p, fs = _hadoop_fs(spark, flush_dir)
     fs.mkdirs(p)
     table = stream_path(spark, source_path)
-    result_schema = None
+    result_schema, rows_read = None, 0
 
     def start() -> None:
-        nonlocal result_schema
+        nonlocal result_schema, rows_read
         reader = spark.readStream.schema(schema)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        else:
+            reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
         data = reader.parquet(table)
         extra = spark.readStream.schema(schema).parquet(flush_dir)
         result = build(data.unionByName(extra))
@@ -112,13 +170,23 @@ def run_bounded(spark: SparkSession, source_path: str, schema, build: Callable[[
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+        progress = [json.loads(p.json) for p in q.recentProgress]
+        rows_read += sum(p["numInputRows"] for p in progress)
+        late = sum(o.get("numRowsDroppedByWatermark", 0) for p in progress for o in p["stateOperators"])
+        if late:
+            raise RuntimeError(f"{purpose}: the watermark dropped {late} rows; give the stream a larger delay")
 
     start()
     if flush is not None:
         flush.select(*schema.names).write.mode("append").parquet(flush_dir)
         start()
     if not _has_files(spark, out):
+        p, fs = _hadoop_fs(spark, out)
+        if rows_read and not fs.exists(p):
+            raise RuntimeError(f"{purpose}: {rows_read} rows were read but {out} is missing; is the folder shared?")
         return spark.createDataFrame([], result_schema)
+    if fs_has_tables(spark, out):
+        return newest_complete(spark, out)
     back = spark.read.parquet(out)
     return back.drop("batch") if "batch" in back.columns else back
 
@@ -136,10 +204,20 @@ def append_batches(transform: Callable[[DataFrame], DataFrame] | None = None):
 
 
 def latest_complete():
-    """``foreachBatch`` writer for complete/update results: each micro-batch
-    replaces the table, so the sink holds the newest full result."""
+    """``foreachBatch`` writer for complete results: each micro-batch writes
+    the full table to a folder of its own, marked once it is whole, so a
+    failure while writing leaves the one before; see ``newest_complete``."""
     def make(out: str):
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
+            batch.write.mode("overwrite").parquet(f"{out}/table={batch_id}")
         return write
     return make
+
+
+def newest_complete(spark: SparkSession, out: str) -> DataFrame:
+    """The newest whole table written by ``latest_complete``."""
+    p, fs = _hadoop_fs(spark, out)
+    jvm = spark.sparkContext._jvm
+    done = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(p)
+            if f.getPath().getName().startswith("table=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    return spark.read.parquet(f"{out}/table={max(done)}")
