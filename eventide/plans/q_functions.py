@@ -65,7 +65,7 @@ def lateral_split_left(spark, sf):
     """G4 LEFT form: rows without a payload (views) keep one row with null word."""
     ev = S.events(spark, sf)
     t = ev.select("event_id", F.when(F.col("event_type") == "view", F.lit(None).cast("string"))
-                  .otherwise(F.concat_ws("#", "event_type", "props")).alias("s"))
+                  .otherwise(F.concat("event_type", F.lit("#"), "props")).alias("s"))
     return split_words(t, "s", "#", outer=True).select("event_id", "s", "word", "length")
 
 

@@ -24,6 +24,17 @@ def group_count_changelog(spark, sf):
     return ST.changelog_count(_sensor(spark, sf), "id", "ts_ms", "event_id")
 
 
+@query("type_count_changelog_cut", oracle=f"""
+WITH s AS (SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY epoch_us(ts) // 1000, event_id) AS seq FROM events)
+SELECT event_type, seq, true AS is_add, seq AS cnt FROM s
+UNION ALL
+SELECT event_type, seq, false AS is_add, seq - 1 AS cnt FROM s WHERE seq > 1""")
+def type_count_changelog_cut(spark, sf):
+    """A9/D12 over few keys, each with a fifth of all rows, in one bucket cut
+    at ts quantiles into pieces of at most some 100 rows: the hot path."""
+    return ST.changelog_count(S.events(spark, sf), "event_type", "ts_ms", "event_id", bucket_ms=3650 * DAY, target_rows=100)
+
+
 @query("timer_deadlines", oracle=with_(SENSOR) + "SELECT DISTINCT id, ts_ms + 10000 AS fire_ms FROM sensor")
 def timer_deadlines(spark, sf):
     """Event-time timer 10 s after every reading; one firing per (key, time)."""

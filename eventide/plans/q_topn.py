@@ -35,7 +35,7 @@ def hot_items_top3(spark, sf):
 @query("hot_items_sql", oracle=HOT_ITEMS_SQL)
 def hot_items_sql(spark, sf):
     """The same top-3 written as SQL with ROW_NUMBER over a HOP aggregate."""
-    S.user_behaviour(S.events(spark, sf)).createOrReplaceTempView("eventide_behaviour")
+    S.page_views(S.events(spark, sf)).createOrReplaceTempView("eventide_behaviour")
     return spark.sql("""
         SELECT window_end, CAST(rank AS BIGINT) AS rank, item_id, cnt FROM (
           SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS rank

@@ -26,14 +26,15 @@ def _sensor(spark, sf):
        "SELECT id, temperature FROM sensor WHERE id = 'sensor_1'")
 def select_filter_df(spark, sf):
     """B1/B2: Table-API style string projection and filter expression."""
-    return _sensor(spark, sf).selectExpr("id", "temperature").filter("id = 'sensor_1'")
+    one = S.sensor_readings(S.events(spark, sf), id="sensor_1")
+    return one.selectExpr("id", "temperature").filter("id = 'sensor_1'")
 
 
 @query("select_filter_sql", oracle=with_(SENSOR) +
        "SELECT id, temperature FROM sensor WHERE id = 'sensor_2'")
 def select_filter_sql(spark, sf):
     """SQL projection + filter over a registered view."""
-    _sensor(spark, sf).createOrReplaceTempView("eventide_sensor")
+    S.sensor_readings(S.events(spark, sf), id="sensor_2").createOrReplaceTempView("eventide_sensor")
     return spark.sql("SELECT id, temperature FROM eventide_sensor WHERE id = 'sensor_2'")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 def to_documents(df: DataFrame, index: str, record: str, fields: Sequence[str]) -> DataFrame:
     """Rows -> (index, doc) with doc = ``{"data": "Record(f1,f2,...)"}``."""
-    text = F.concat(F.lit(f"{record}("), F.concat_ws(",", *[F.col(f).cast("string") for f in fields]),
+    text = F.concat(F.lit(f"{record}("), F.concat_ws(",", *[F.coalesce(F.col(f).cast("string"), F.lit("null")) for f in fields]),
                     F.lit(")"))
     return df.select(F.lit(index).alias("index"), F.to_json(F.struct(text.alias("data"))).alias("doc"))
 

@@ -32,8 +32,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("ts_ms", epoch_ms_of(df, "ts"))
 
 
-def sensor_readings(ev: DataFrame) -> DataFrame:
-    """SensorReading(id, ts, temperature) = ('sensor_' || user_id, ts, value)."""
+def sensor_readings(ev: DataFrame, id: str | None = None) -> DataFrame:
+    """SensorReading(id, ts, temperature) = ('sensor_' || user_id, ts, value).
+
+    ``id`` keeps one sensor, tested on the raw user id so the predicate
+    reaches the parquet scan."""
+    if id is not None:
+        number = id.removeprefix("sensor_")
+        ev = ev.filter(F.col("user_id") == int(number)) if id != number and number.lstrip("-").isdigit() else ev.limit(0)
     return ev.select(
         "event_id",
         F.concat(F.lit("sensor_"), F.col("user_id").cast("string")).alias("id"),
@@ -83,8 +89,8 @@ def marketing(ev: DataFrame, drop_uninstall: bool = False) -> DataFrame:
 
 
 def ip_of(n: Column) -> Column:
-    return F.concat_ws(".", F.lit("10"), (F.floor(n / 65536) % 256).cast("string"),
-                       (F.floor(n / 256) % 256).cast("string"), (n % 256).cast("string"))
+    return F.concat(F.lit("10."), (F.floor(n / 65536) % 256).cast("string"), F.lit("."),
+                    (F.floor(n / 256) % 256).cast("string"), F.lit("."), (n % 256).cast("string"))
 
 
 def logins(ev: DataFrame) -> DataFrame:
@@ -120,19 +126,21 @@ def access_log_lines(ev: DataFrame) -> DataFrame:
     Field layout after a split on ' ': 0 ip, 3 time dd/MM/yyyy:HH:mm:ss,
     5 method, 6 url.
     """
-    line = F.concat_ws(
-        " ",
-        ip_of(F.col("user_id")), F.lit("-"), F.lit("-"),
-        F.date_format(F.col("ts"), "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"),
-        F.when(F.col("event_type") == "purchase", "POST").otherwise("GET"),
-        F.concat(F.lit("/page/"), (F.col("event_id") % URL_MOD).cast("string")),
+    page = F.concat(F.lit("/page/"), (F.col("event_id") % URL_MOD).cast("string"))
+    # Every field has its place, also where it is unknown; a row without a
+    # time has no line.
+    line = F.concat(
+        F.coalesce(ip_of(F.col("user_id")), F.lit("-")), F.lit(" - - "),
+        F.date_format(F.col("ts"), "dd/MM/yyyy:HH:mm:ss"), F.lit(" +0000 "),
+        F.when(F.col("event_type") == "purchase", "POST").otherwise("GET"), F.lit(" "),
+        F.coalesce(page, F.lit("-")),
     )
     return ev.select(line.alias("value"))
 
 
 def split_text(ev: DataFrame) -> DataFrame:
     """Text for the table function: event_type || '#' || props."""
-    return ev.select("event_id", F.concat_ws("#", "event_type", "props").alias("s"))
+    return ev.select("event_id", F.concat("event_type", F.lit("#"), "props").alias("s"))
 
 
 ARRIVAL_SPREAD_S = 3600   # out-of-order arrival: up to one hour behind event time
