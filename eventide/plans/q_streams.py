@@ -19,7 +19,8 @@ from eventide.sources import tables as S
 from eventide.streaming import processors as P
 from eventide.functions.time import epoch_ms_of
 from eventide.streaming.runner import (
-    FLUSH_MS, append_batches, bounded_delay, events_flush_row, latest_complete, run_bounded)
+    FLUSH_MS, append_batches, bounded_delay, events_flush_row, latest_complete, newest_per_key, numbered_batches,
+    run_bounded)
 from eventide.streaming.sources import event_stream
 
 HOUR = 3_600_000
@@ -282,16 +283,24 @@ def stream_group_count_updates(spark, sf):
     """A9/D12 on a stream in update mode: each micro-batch emits only the keys
     whose count changed; the changelog is kept with its batch id, and the
     newest row per key is the current count."""
-    from pyspark.sql import Window
+    log = _run(spark, sf, lambda s: W.group_count(S.sensor_readings(s), "id"), "stream_group_count_updates",
+               output_mode="update", batch_writer=numbered_batches(), flush=False)
+    return newest_per_key(log, "id").select("id", "cnt")
 
-    def writer(out):
-        def write(batch, batch_id):
-            batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-                 .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        return write
 
-    log = _run(spark, sf, lambda s: W.group_count(S.sensor_readings(s), "id"), "stream_group_count_updates",
-               output_mode="update", batch_writer=writer, flush=False)
-    newest = Window.partitionBy("id").orderBy(F.col("batch_id").desc())
-    return (log.withColumn("_r", F.row_number().over(newest)).filter("_r = 1")
-               .select("id", "cnt"))
+@query("stream_group_count_changelog", oracle=_oracle("group_count_changelog"))
+def stream_group_count_changelog(spark, sf):
+    """A9 on a stream: a retraction and an addition per row, in order."""
+    def build(s):
+        return _tws(S.sensor_readings(s), "id", P.CountChangelog("id"), "id string, seq long, is_add boolean, cnt long")
+    return _run(spark, sf, build, "stream_group_count_changelog")
+
+
+@query("stream_top2", oracle=_oracle("top2"))
+def stream_top2(spark, sf):
+    """K6 on a stream: two values of state per sensor; the newest emission of
+    each sensor is its result."""
+    def build(s):
+        return _tws(S.sensor_readings(s), "id", P.TopValues("id", "temperature", 2), "id string, temperature double, rank long")
+    log = _run(spark, sf, build, "stream_top2", batch_writer=numbered_batches(), flush=False)
+    return newest_per_key(log, "id").select("id", "temperature", "rank")

@@ -107,6 +107,56 @@ def _time(row: tuple) -> int:
     return _NO_TIME if row[0] is None else row[0]
 
 
+class CountChangelog(InOrder):
+    """Each row retracts its key's count, when there is one, and adds
+    the new one: (false, seq - 1) and (true, seq)."""
+
+    def __init__(self, key: str, ts: str = "ts_ms", tie: str = "event_id"):
+        super().__init__({ts: "long", tie: "long"})
+        self.key = key
+
+    def open(self) -> None:
+        self.count = self.handle.getValueState("count", "n long")
+
+    def walk(self, key, rows, watermark):
+        n, out = self.count.get()[0] if self.count.exists() else 0, []
+        for _ in rows:
+            n += 1
+            if n > 1:
+                out.append(Row(**{self.key: key[0], "seq": n, "is_add": False, "cnt": n - 1}))
+            out.append(Row(**{self.key: key[0], "seq": n, "is_add": True, "cnt": n}))
+        if rows:
+            self.count.update((n,))
+        return out
+
+
+class TopValues(StatefulProcessor):
+    """K6: the ``n`` largest values of a key, kept in state; a batch that
+    brings rows of the key emits them anew with their ranks.  Order of rows
+    does not matter."""
+
+    def __init__(self, key: str, value: str, n: int = 2):
+        self.key, self.value, self.n = key, value, n
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.top = handle.getListState("top", "v double")
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = [r[0] for r in self.top.get()] if self.top.exists() else []
+        held += [r[self.value] for r in rows]
+        # Nulls rank last, as in a descending sort.
+        held = sorted(held, key=lambda v: (v is None, -(v or 0.0)))[:self.n]
+        self.top.put([(v,) for v in held])
+        return iter([Row(**{self.key: key[0], self.value: v, "rank": i + 1}) for i, v in enumerate(held)])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 class RisingAlert(InOrder):
     """Alert when the value has kept rising (no drop) for ``delay_ms``."""
 

@@ -54,7 +54,8 @@ def events_flush_row(spark: SparkSession, table: DataFrame) -> DataFrame:
 
 
 def bounded_delay(table: DataFrame, ts_ms: Column) -> int:
-    """Watermark delay (ms) that loses no row of a bounded file stream.
+    """Watermark delay (ms) that loses no row of a bounded file stream; a row
+    at the watermark itself is late already.
 
     Files are read oldest first, each whole, so a row can only be late against
     earlier files: the delay is the largest lag of a file's smallest time
@@ -70,7 +71,7 @@ def bounded_delay(table: DataFrame, ts_ms: Column) -> int:
         before = max(x for x in (top, r["hi"] if r["n"] > 1 else None, r["lo"]) if x is not None)
         lag = max(lag, before - r["lo"])
         top = r["hi"] if top is None else max(top, r["hi"])
-    return lag
+    return lag + 1
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
@@ -203,6 +204,22 @@ def append_batches(transform: Callable[[DataFrame], DataFrame] | None = None):
     return make
 
 
+def numbered_batches():
+    """``foreachBatch`` writer that keeps each row's micro-batch number."""
+    def make(out: str):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            b = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            b.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        return write
+    return make
+
+
+def newest_per_key(log: DataFrame, key: str) -> DataFrame:
+    """Rows of each key's newest micro-batch, by a partial maximum and a join."""
+    newest = log.groupBy(F.struct(key).alias("_key")).agg(F.max("batch_id").alias("batch_id"))
+    return log.withColumn("_key", F.struct(key)).join(newest, ["_key", "batch_id"]).drop("_key")
+
+
 def latest_complete():
     """``foreachBatch`` writer for complete results: each micro-batch writes
     the full table to a folder of its own, marked once it is whole, so a

@@ -38,6 +38,8 @@ PAIRS = {
     "stream_hot_items_sql": "hot_items_sql",
     "stream_sensor_minmax_tumble": "sensor_minmax_tumble",
     "stream_group_count_updates": "group_count",
+    "stream_group_count_changelog": "group_count_changelog",
+    "stream_top2": "top2",
 }
 
 
@@ -101,7 +103,7 @@ def rows_any(df, cols):
 def test_late_rows_raise(spark, split_dir, monkeypatch):
     """A delay too small for the files fails the run instead of losing rows."""
     monkeypatch.setattr(q_streams, "MAX_FILES_PER_TRIGGER", 1)
-    monkeypatch.setattr(q_streams, "bounded_delay", lambda *_: 0)
+    monkeypatch.setattr(q_streams, "bounded_delay", lambda *_: 1)
     with pytest.raises(RuntimeError, match="watermark dropped"):
         E.queries()["stream_tumble_count"](spark, split_dir)
 
