@@ -11,6 +11,7 @@ encoding whole texts.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -48,7 +49,11 @@ class _Memo(dict):
                 return self[lines[0]] + b"".join(self.owner.line_feed + bare[x] for x in lines[1:])
         if part == "" or part[-1].isspace():
             raise _Irregular
-        ids = self.owner.encode_part(self.lead, part)
+        word = part.rstrip(_TAIL)
+        if word == part or not word.isalpha():
+            ids = self.owner.encode_part(self.lead, part)
+        else:                                   # letters, then one pre-token of punctuation
+            ids = self[word] + self.owner.tail(part[len(word):])
         if len(self) >= MEMO_PARTS:
             self.clear()
         self[part] = ids
@@ -73,22 +78,30 @@ class BpeEncoder:
         self.splits = (self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in shape
                        and "use_regex=True" in shape)
         self.chars = _byte_chars()
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.leads = {"": "", " ": self.chars[0x20]}
+        self.tails: dict[str, bytes] = {}
         self.line_feed = self._whole("\n")
         self.spaced, self.bare = _Memo(self, " "), _Memo(self, "")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _pretoken(self, text: str) -> list[int]:
-        mapped = text.encode().decode("latin-1").translate(self.chars)
-        return [t.id for t in self.model.tokenize(mapped)]
+    def _pretoken(self, lead: str, text: str) -> bytes:
+        """Ids of one pre-token; ASCII letters and punctuation stand for their bytes."""
+        mapped = text if text.isascii() else text.encode().decode("latin-1").translate(self.chars)
+        return array(self.code, [t.id for t in self.model.tokenize(self.leads[lead] + mapped)]).tobytes()
+
+    def tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) >= MEMO_PARTS:
+                self.tails.clear()
+            self.tails[marks] = self._pretoken("", marks)
+        return self.tails[marks]
 
     def encode_part(self, lead: str, part: str) -> bytes:
-        word = part.rstrip(_TAIL)
-        if word.isalpha():  # one pre-token of letters, then at most one of punctuation
-            tail = part[len(word):]
-            return np.array(self._pretoken(lead + word) + (self._pretoken(tail) if tail else []), self.dtype).tobytes()
-        return self._whole(lead + part)
+        """A part that is one word of letters, or any other."""
+        return self._pretoken(lead, part) if part.isalpha() else self._whole(lead + part)
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as little-endian integers of ``self.dtype``."""
