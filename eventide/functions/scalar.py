@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession, functions as F
 
+from eventide.functions.time import ms_to_ntz
+
 _TWO32 = 4294967296
 _TWO31 = 2147483648
 
@@ -54,4 +56,5 @@ def split_keep_java(col: Column | str, sep_regex: str) -> Column:
 def epoch_ms_text(col: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss.SSS") -> Column:
     """Epoch ms -> timestamp text (UTC wall clock)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.date_format(F.timestamp_millis(c), fmt)
+    # Through a zone-free timestamp: the text is the same in every session zone.
+    return F.date_format(ms_to_ntz(c), fmt)

@@ -37,12 +37,6 @@ def ms_to_ntz(col: str | Column) -> Column:
     return F.timestamp_add("MILLISECOND", c, F.expr(_NTZ_EPOCH))
 
 
-def ms_to_ts(col: str | Column) -> Column:
-    """Epoch ms BIGINT -> TIMESTAMP (instant); used for streaming watermarks."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_millis(c)
-
-
 def duration_ms(text: str) -> int:
     """Parse '10 seconds', '5 minutes', '1 hour', '2 days', '500 ms' to ms."""
     num, unit = text.strip().split(None, 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.functions.aggregate import avg_per_key
-from eventide.functions.scalar import hash_code, register_hash_code
+from eventide.functions.scalar import epoch_ms_text, hash_code, register_hash_code
 from eventide.functions.table import register_split_words, split_words
 from eventide.plans.registry import query
 from eventide.plans.sqlparts import SENSOR, with_
@@ -69,6 +69,13 @@ def lateral_split_left(spark, sf):
     return split_words(t, "s", "#", outer=True).select("event_id", "s", "word", "length")
 
 
+@query("epoch_text", oracle=with_(SENSOR) +
+       "SELECT id, ts_ms, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S.%g') AS at FROM sensor")
+def epoch_text(spark, sf):
+    """Epoch milliseconds as text, the UTC wall clock."""
+    return _sensor(spark, sf).select("id", "ts_ms", epoch_ms_text("ts_ms").alias("at"))
+
+
 @query("avg_udaf", oracle=with_(SENSOR) +
        "SELECT id, round(sum(temperature) / count(temperature), 6) AS avg_temp FROM sensor GROUP BY id")
 def avg_udaf(spark, sf):

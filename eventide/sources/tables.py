@@ -15,9 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventide.functions.time import epoch_ms_of
 
-# Marketing channels and behaviours named by the reference.
+# Marketing channels of the jobs this library re-expresses.
 CHANNELS = ["AppleStore", "XiaomiStore", "HuaweiStore"]
-BEHAVIOURS = ["BROWSE", "CLICK", "INSTALL", "UNINSTALL"]
 
 ITEM_MOD = 50          # item_id = event_id % 50
 URL_MOD = 20           # url = '/page/' || event_id % 20
@@ -113,13 +112,6 @@ def order_events(ev: DataFrame) -> DataFrame:
                       "ts", "ts_ms"))
 
 
-def bill_sides(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Reconciliation inputs: purchases (orders) against clicks (payments)."""
-    cols = ["event_id", F.col("user_id").alias("order_id"), "ts", "ts_ms"]
-    return (ev.filter(F.col("event_type") == "purchase").select(*cols),
-            ev.filter(F.col("event_type") == "click").select(*cols))
-
-
 def access_log_lines(ev: DataFrame) -> DataFrame:
     """Render events as access-log text lines (parsed back by ``parse_access_log``).
 
