@@ -54,7 +54,6 @@ NODE_ROWS = 2048
 FLOOR_BITS = 11
 
 _CHUNK = 1 << 14
-_BITS = np.arange(63, -1, -1, dtype=np.uint64)
 
 
 # --------------------------------------------------------------- fingerprints
