@@ -1,7 +1,7 @@
 """Token ids in a canonical, length-limited Huffman file format.
 
-Writing takes two passes over the ids.  The first tokenizes, keeps the ids in
-the shared scratch folder and counts them; the counts over all documents give
+Writing takes two passes over the ids.  The first tokenizes, keeps the ids and
+each task's counts in the shared scratch folder; the counts over all documents give
 code lengths by package-merge (at most ``MAX_BITS``), and lengths alone fix the
 canonical codes.  The second pass encodes.  Documents are dealt into ranges of
 doc_id, one file a range, in ascending order.
@@ -162,38 +162,43 @@ def _lane_sizes(doc_lengths: np.ndarray) -> np.ndarray:
     return sizes
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n_tokens, ids as packed little-endian integers), end id included."""
+def tokenize(docs: DataFrame, tokenizer_path: str, vocab: int, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, n_tokens, ids as packed little-endian integers), end id
+    included; and from each task one row of n_tokens = -1 whose ids are the
+    task's occurrences of every id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer_path)
         width, end = bpe.dtype.itemsize, np.array([end_id], bpe.dtype).tobytes()
+        total = np.zeros(vocab, np.int64)
+        names = ["doc_id", "n_tokens", "ids"]
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 packed = [bpe.packed(t.as_py() or "") + end for t in part.column(1)]
+                total += np.bincount(np.frombuffer(b"".join(packed), bpe.dtype), minlength=vocab)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(p) // width for p in packed], pa.int64()), pa.array(packed, pa.binary())],
-                    ["doc_id", "n_tokens", "ids"])
+                    [part.column(0), pa.array([len(p) // width for p in packed], pa.int64()), pa.array(packed, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array([total.tobytes()], pa.binary())], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
-def count_ids(tokens: DataFrame, width: int, vocab: int) -> np.ndarray:
-    """Occurrences of each id over all documents (a vector as long as the vocabulary)."""
-    kind = np.dtype(f"<u{width}")
+def count_ids(counted: DataFrame, vocab: int) -> np.ndarray:
+    """Occurrences of each id over all documents (a vector as long as the
+    vocabulary), from the tasks' counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocab, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                packed = b"".join(x.as_py() for x in batch.column(0).slice(at, 1024))
-                total += np.bincount(np.frombuffer(packed, kind), minlength=vocab)
+            for counts in batch.column(0):
+                total += np.frombuffer(counts.as_py(), np.int64)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    found = tokens.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    found = counted.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(vocab, np.int64)
     for r in found:
         counts[r["id"]] = r["n"]
@@ -207,8 +212,9 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = E
     spark = docs.sparkSession
     vocab = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1)
     width = 2 if vocab <= 1 << 16 else 4
-    tokens = save(tokenize(docs, tokenizer_path, end_id), "huffman-ids", compression="zstd")
-    counts = count_ids(tokens, width, vocab)
+    made = save(tokenize(docs, tokenizer_path, vocab, end_id), "huffman-ids", compression="zstd")
+    tokens, counted = made.filter("n_tokens >= 0"), made.filter("n_tokens < 0")
+    counts = count_ids(counted, vocab)
     lengths = code_lengths(counts)
     spark.createDataFrame([(lengths.tobytes(),)], "lengths binary").coalesce(1).write.parquet(f"{path}/lengths")
 
