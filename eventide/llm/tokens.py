@@ -4,8 +4,9 @@ The pre-tokenizer's pattern never lets a token run from a non-space character
 into a following space, so a text may be cut before every space that follows a
 non-space character and its parts encoded apart.  Parts repeat far more often
 than texts do; each is encoded by the tokenizers library once per worker and
-looked up afterwards.  ``tests/llm/test_tokens.py`` holds the result against
-encoding whole texts.
+looked up afterwards.  ``tests/llm/test_llm_tokens.py`` holds the result against
+encoding whole texts.  A text that holds the string of an added token is
+encoded whole.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ class BpeEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # An added token's string in a text is that token, wherever it stands.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.model = self.tokenizer.model
         shape = str(self.tokenizer.pre_tokenizer)
@@ -107,7 +109,7 @@ class BpeEncoder:
         """The ids of a text as little-endian integers of ``self.dtype``."""
         if not text:
             return b""
-        if not self.splits:
+        if not self.splits or any(mark in text for mark in self.added):
             return self._whole(text)
         first, *rest = text.split(" ")
         try:

@@ -31,6 +31,37 @@ def test_encoding_equals_whole_text(text):
     assert bpe.ids(text).tolist() == plain_ids(bpe, text)
 
 
+@pytest.fixture(scope="module")
+def library():
+    """A tokenizer as the library loads it, that the encoder has not touched."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+MARKED = ["<|endoftext|>", "x <|endoftext|> y", "a<|endoftext|>b", "one  <|endoftext|>\n\n<|endoftext|><|endoftext|> two.", "<|endoftext|", " <|endoftext|> "]
+
+
+@pytest.mark.parametrize("text", MARKED)
+def test_added_tokens_are_encoded_as_the_library_does(library, text):
+    assert BpeEncoder(vocabulary()).ids(text).tolist() == library(text)
+    assert text != MARKED[1] or library(text) == [87, 220, 50256, 331]
+
+
+def test_files_and_windows_hold_the_ids_of_added_tokens(spark, library):
+    texts = [*MARKED, "plain words"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = {r["doc_id"]: r for r in huffman.round_trip(rows, vocabulary()).collect()}
+    packed = {r["doc_id"]: r for r in packing.pack(rows, vocabulary()).collect()}
+    at = 0
+    for i, text in enumerate(texts):
+        ids = library(text)
+        assert (coded[i]["start"], coded[i]["n_tokens"], coded[i]["ids_crc32"]) == (at, len(ids) + 1, crc([*ids, huffman.END_ID]))
+        assert (packed[i]["doc_tokens"], packed[i]["ids_crc32"]) == (len(ids) + 1, crc([*ids, packing.END_ID]))
+        at += len(ids) + 1
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
