@@ -14,8 +14,8 @@ ssn        9 digits grouped 3-2-4                     all digits
 phone      + country code, or 3-3-4 groups            digits after the code
 ip         four octets                                the 32-bit address
 secret     32 to 128 hexadecimal digits               all digits
-card       13 to 19 digits, plain or in groups        digits; a valid Luhn check
-                                                      digit stays valid
+card       Luhn check of 13 to 19 digits; without     digits; a valid Luhn check
+           it 16 digits, or groups 4-4-4-4 or 4-6-5   digit stays valid
 =========  =========================================  =========================
 
 Strings run through a balanced Feistel network over their characters: a round
@@ -118,12 +118,16 @@ def luhn_sum(digits: str) -> str:
 
 
 def _card(value: str, key: str) -> str:
+    """Digits that fail the Luhn check are replaced where their layout names a
+    card: 16 digits, or groups; any other run stays."""
     digits = _digits(value)
     body = f"left({digits}, length({digits}) - 1)"
     moved = feistel_text(body, key, "card")
     check = f"cast((10 - {luhn_sum('concat(p, 0)')} % 10) % 10 as string)"
     valid = f"transform(array({moved}), p -> concat(p, {check}))[0]"
-    new = f"case when {luhn_sum(digits)} % 10 = 0 then {valid} else {feistel_text(digits, key, 'number')} end"
+    named = f"(length({digits}) = 16 or {value} rlike '[ -]')"
+    new = (f"case when {luhn_sum(digits)} % 10 = 0 then {valid} "
+           f"when {named} then {feistel_text(digits, key, 'number')} else {digits} end")
     return f"transform(array({new}), n -> {_poured(value, 'n')})[0]"
 
 

@@ -160,6 +160,26 @@ def test_equal_cards_stay_linked_over_layouts(replaced):
     assert len(digits) == 1
 
 
+def reported(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return [(r["text"], r["n_replaced"]) for r in sorted(pii.report(rows).collect(), key=lambda r: r["doc_id"])]
+
+
+def test_digit_runs_that_are_no_card_stay(spark):
+    # Epoch milliseconds, ISBN-13, EAN-13, a number of 15 digits, tracking numbers of 18 and 19.
+    runs = ["1700000000123", "9783161484100", "4006381333931", "123456789012345", "123456789012345678", "9999999999999999990"]
+    assert not any(luhn(v) for v in runs)
+    assert reported(spark, [f"at {v}, {v}." for v in runs]) == [(f"at {v}, {v}.", 0) for v in runs]
+
+
+def test_digit_runs_that_are_cards_go(spark):
+    # By Luhn at any length; by 16 digits or groups without it.
+    values = ["4222222222222", "371449635398431", "6304000000000000000", "9807915762804490", "4111 1111 1111 1112", "3714-496353-98432"]
+    assert [luhn(v.replace(" ", "").replace("-", "")) for v in values] == [True, True, True, False, False, False]
+    for value, (text, n) in zip(values, reported(spark, [f"at {v}." for v in values]), strict=True):
+        assert n == 1 and value not in text and re.sub(r"\d", "9", text) == re.sub(r"\d", "9", f"at {value}.")
+
+
 def feistel(value, key, kind, hexadecimal=False):
     """The network in plain Python."""
     import hashlib
