@@ -8,10 +8,11 @@ documents and nothing has to be looked up or joined:
 kind       validated by                               permuted
 =========  =========================================  =========================
 email      address shape                              local part
-iban       mod-97 check                               account part; check redone
+iban       its country's length, mod-97 check         account part; check redone
 date       a calendar day of 1900-2099                the day number
 ssn        9 digits grouped 3-2-4                     all digits
-phone      + country code, or 3-3-4 groups            digits after the code
+phone      + country code, 7 to 12 digits in groups,  digits after the code
+           or 3-3-4 groups
 ip         four octets                                the 32-bit address
 secret     32 to 128 hexadecimal digits               all digits
 card       Luhn check of 13 to 19 digits; without     digits; a valid Luhn check
@@ -38,14 +39,43 @@ from pyspark.sql import functions as F
 KEY = "eventide-pseudonym-key"
 ROUNDS = 8
 
+# Length of an IBAN by country: the ISO 13616 registry, then those in use outside it.
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+    "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+    "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30 "
+    "AO25 BF28 BJ28 CF27 CG27 CI28 CM27 CV25 DZ26 GA27 GQ27 GW25 IR26 KM27 MA28 MG27 ML28 MZ25 NE28 SN28 TD27 TG28").split()}
+
+
+def _iban_pattern() -> str:
+    """As many characters as the country's IBANs have, so no following word is
+    taken; of other countries, as many groups as there are."""
+    by_length: dict[int, list[str]] = {}
+    for country, length in IBAN_LENGTHS.items():
+        by_length.setdefault(length, []).append(country)
+    kinds = []
+    for length, countries in sorted(by_length.items()):
+        groups, rest = divmod(length - 4, 4)
+        last = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        kinds.append(rf"(?:{'|'.join(countries)})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}")
+    kinds.append(rf"(?!{'|'.join(IBAN_LENGTHS)})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?")
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join(kinds)})(?![A-Za-z0-9])"
+
+
 # Formats of the kinds (fixed values).
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "iso": r"(?<![\d-])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d-])",
     "dmy": r"(?<![\d/.])\d{1,2}([/.])\d{1,2}\1(?:19|20)\d\d(?![\d/]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+    "phone": r"(?<![\w+])\+4[57](?:[ .-]?\d{2}){4}(?!\d)"
+             r"|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+             # Groups of two digits: 7 to 12 digits after the code; a fourth pair
+             # must not begin an address, a date or a time.
+             r"|(?<![\w+])\+\d{1,3}[ .-]\(?\d{1,4}\)?(?:[ .-]\d{2}(?!\d)){3}(?:[ .-]\d{2}(?!\d|[./:-]\d))?"
+             r"|(?<![\w+])\+\d{1,3}[ .-]\(?\d{1,4}\)?[ .-]\d{3}(?:[ .-]\d{2}|[ .-]\d{3})[ .-]\d{2}(?!\d)"
              r"|(?<![\w(-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
     "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])",

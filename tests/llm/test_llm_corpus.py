@@ -180,6 +180,44 @@ def test_digit_runs_that_are_cards_go(spark):
         assert n == 1 and value not in text and re.sub(r"\d", "9", text) == re.sub(r"\d", "9", f"at {value}.")
 
 
+IBANS = ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT611904300234573201", "AT61 1904 3002 3457 3201",
+         "SE45 5000 0000 0583 9825 7466", "PL61109010140000071219812874", "CZ65 0800 0000 1920 0014 5399", "BE68 5390 0754 7034",
+         "NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "MT84MALT011000012345MTLCAST001S"]
+
+
+def test_ibans_go_before_any_word(spark):
+    assert all(mod97(v) == 1 for v in IBANS)
+    cases = [(v, after) for v in IBANS for after in (" EUR", " BIC", " NOW", " 1234", " 12 EUR", ".", "")]
+    for (value, after), (text, n) in zip(cases, reported(spark, [f"to {v}{a}" for v, a in cases]), strict=True):
+        made = text[3:len(text) - len(after)]
+        assert n == 1 and made != value and mod97(made) == 1 and made[:2] == value[:2] and text.endswith(after), (value, after)
+        assert [c == " " for c in made] == [c == " " for c in value]
+
+
+def test_a_card_after_an_iban_goes_as_well(spark):
+    (text, n), = reported(spark, ["BE68 5390 0754 7034 4111 1111 1111 1111"])
+    assert n == 2 and "4111 1111 1111 1111" not in text
+
+
+PHONES = ["+33 6 12 34 56 78", "+45 12 34 56 78", "+33.6.12.34.56.78", "+47 22 12 34 56", "+49 30 12 34 56 78", "+41 44 668 18 00",
+          "+7 495 123-45-67", "+48 22 123 45 67", "+46 8 123 456 78", "+44 20 7946 0958", "+45 1234 5678"]
+
+
+@pytest.mark.parametrize("after", ["", " or 3 more", ", 12", " 190.137.223.204", " 37.92.178.161", " 12:30", " x 4111 1111 1111 1111"])
+def test_phones_in_groups_of_two_go(spark, after):
+    for value, (text, n) in zip(PHONES, reported(spark, [f"call {v}{after}" for v in PHONES]), strict=True):
+        code = re.match(r"\+\d+", value)[0]
+        assert text.startswith(f"call {code}") and value not in text and n == 1 + any(x in after for x in (".1", "4111")), (value, text)
+        assert re.sub(r"\d", "9", text[:5 + len(value)]) == re.sub(r"\d", "9", f"call {value}")
+        if n == 1:
+            assert text.endswith(after)
+
+
+def test_signed_numbers_are_no_phones(spark):
+    texts = ["from +12 34 to +5", "+1 2 3", "a+33 6 12 34 56 78", "1+45 12 34 56 78", "+12.5 and +33 6 12"]
+    assert reported(spark, texts) == [(t, 0) for t in texts]
+
+
 def feistel(value, key, kind, hexadecimal=False):
     """The network in plain Python."""
     import hashlib
