@@ -93,13 +93,12 @@ class Page:
     """Element tree of a page.  ``pieces`` holds its texts in page order as
     (node, text); node -1 marks white space between blocks."""
 
-    def __init__(self, source: str, max_depth: int = 256):
+    def __init__(self, source: str):
         self.tag, self.parent, self.names, self.depth = ["#page"], [-1], [()], [0]
         self.pieces: list[tuple[int, str]] = []
         self.linked: list[bool] = []
         self._stack: list[tuple[str, int]] = []         # open elements and their nodes
         self._links = 0
-        self._max_depth = max_depth
         self._read(source)
         self._split_mixed()
 
@@ -143,13 +142,14 @@ class Page:
                 self._break()
             return
         node = self._node()
-        names = tuple(n for m in _ATTRIBUTE.finditer(attributes) for n in name_parts(m[2] or m[3] or m[4] or "")) if "=" in attributes else ()
+        found = (n for m in _ATTRIBUTE.finditer(attributes) for n in name_parts(m[2] or m[3] or m[4] or "")) if "=" in attributes else ()
+        names = tuple(dict.fromkeys(found))
         if tag not in FORMAT:
             self._break()
-        if (tag not in FORMAT or names) and len(self._stack) < self._max_depth:
+        if tag not in FORMAT or names:
             self.tag.append(tag)
             self.parent.append(node)
-            self.names.append(names[:12])
+            self.names.append(names)
             self.depth.append(self.depth[node] + 1)
             node = len(self.tag) - 1
         self._stack.append((tag, node))

@@ -64,6 +64,22 @@ def test_page_shapes_outside_the_table(extractor, body):
     assert H.Extractor.from_bytes(extractor[1]).texts([PAGE % body]) == [TEXT]
 
 
+def test_every_name_part_counts():
+    utilities = " ".join(f"{a}-{b}" for a in ("flex", "grid", "block", "hidden") for b in ("wide", "tall", "small", "round"))
+    page = H.Page(f'<div class="{utilities} flex-wide" id="footer">x</div>')
+    assert page.names[1] == ("flex", "wide", "tall", "small", "round", "grid", "block", "hidden", "footer")
+    page = H.Page('<div class="one two three four five six seven eight nine ten eleven twelve thirteen" id="comments">x</div>')
+    assert page.names[1][-2:] == ("thirteen", "comment") and len(page.names[1]) == 14
+
+
+@pytest.mark.parametrize("opened", ["<b>", "<font>", "<div>"])
+def test_blocks_below_many_open_elements_are_nodes(opened):
+    page = H.Page(opened * 3000 + "<article>main</article><footer>end</footer>")
+    keep = np.ones(len(page.tag), bool)
+    keep[page.tag.index("footer")] = False
+    assert page.text_of(keep) == "main"
+
+
 def test_awkward_pages(spark, extractor):
     rows = [(1, "u", None, 5), (2, None, "", 5), (None, "u", PAGE % f"<article>{ARTICLE}</article>", 5), (3, "u", "<", 5),
             (4, "u", "<p", 5), (5, "u", "<!-- open", 5), (6, "u", "<script>x", 5), (7, "u", "<div>" * 5000 + "deep", 5),
