@@ -4,8 +4,9 @@ Each partition keeps a fixed number of open windows.  A piece goes to the open
 window whose gap it fills best.  When none can take it the fullest window is
 emitted: filled by cutting the piece when its gap is worth a cut
 (``min_piece``), padded otherwise.  What a partition leaves open is merged in a
-tree of at most ``MERGE_FAN_IN`` groups a step, best-fit by falling length, so
-no task ever sees more than ``fan-in x windows`` open windows.
+tree of at most ``MERGE_FAN_IN`` groups a step, best-fit by falling length.  A
+group passes its emptiest windows on, as many as a partition keeps, and pads
+the others, so no task ever sees more than ``fan-in x windows`` open windows.
 
 Texts never move: a partition tokenizes and packs in one pass, and only piece
 rows (a few numbers each) are written or merged.
@@ -136,14 +137,15 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, open_window
         groups, level = -(-groups // MERGE_FAN_IN), level + 1
         rest = rest.withColumn("ev_group", F.floor(F.col("ev_group") / MERGE_FAN_IN).cast("long"))
         merged = save(rest.groupBy("ev_group").applyInPandas(
-            _merger(window, min_piece, level, last=groups == 1), f"{_PIECE}, ev_group long, ev_done boolean"), "pack-merge")
+            _merger(window, min_piece, level, groups == 1, open_windows), f"{_PIECE}, ev_group long, ev_done boolean"), "pack-merge")
         done = done.unionByName(merged.filter("ev_done").select(*_COLUMNS))
         rest = merged.filter("not ev_done").drop("ev_done")
     return done
 
 
-def _merger(window: int, min_piece: int, level: int, last: bool):
-    """Best-fit by falling length over the open pieces of a few partitions."""
+def _merger(window: int, min_piece: int, level: int, last: bool, open_windows: int = OPEN_WINDOWS):
+    """Best-fit by falling length over the open pieces of a few partitions;
+    all but the emptiest ``open_windows`` windows are done."""
 
     def merge(frame):
         group = int(frame["ev_group"].iloc[0])
@@ -164,7 +166,9 @@ def _merger(window: int, min_piece: int, level: int, last: bool):
             offsets.append(window - int(gaps[slot]))
             gaps[slot] -= length
         slots = np.array(slots, np.int64)
+        left = np.flatnonzero(gaps[:len(used)] >= min_piece)
+        passed = left[np.argsort(-gaps[left], kind="stable")[:0 if last else open_windows]]
         return frame.assign(sequence_id=first + slots, offset=np.array(offsets, np.int64),
-                            ev_done=last | (gaps[slots] < min_piece))
+                            ev_done=~np.isin(slots, passed))
 
     return merge

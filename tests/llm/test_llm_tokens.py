@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,6 +106,22 @@ def test_packing_merges_leftovers_over_levels(spark, sf_docs, monkeypatch):
     assert packing.pack(sf_docs.repartition(7), vocabulary()).count() == len(out)
 
 
+@pytest.mark.parametrize("low, high", [(1100, 1900), (600, 900)])
+def test_merge_passes_a_fixed_number_of_windows(low, high):
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(low, high + 1, 4000)
+    frame = pd.DataFrame({"doc_id": np.arange(4000), "start": 0, "length": lengths, "ids_crc32": 0, "doc_tokens": lengths,
+                          "sequence_id": np.arange(4000), "offset": 0, "ev_group": 0})
+    out = packing._merger(packing.WINDOW, packing.MIN_PIECE, 1, last=False)(frame)
+    assert sorted(out.doc_id) == list(range(4000))
+    used = out.groupby("sequence_id").length.sum()
+    assert used.max() <= packing.WINDOW
+    left = out[~out.ev_done].sequence_id.unique()
+    assert len(left) == packing.OPEN_WINDOWS and used[left].max() <= used.drop(left).min()   # the emptiest
+    assert not set(left) & set(out[out.ev_done].sequence_id)
+    assert packing._merger(packing.WINDOW, packing.MIN_PIECE, 1, last=True)(frame).ev_done.all()
+
+
 def test_packing_of_nothing(empty):
     assert packing.pack(empty, vocabulary()).collect() == []
 
