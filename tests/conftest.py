@@ -15,9 +15,3 @@ def spark():
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="eventide-test-ckpt-"))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the chosen columns."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from eventide.functions.scalar import hash_code, register_hash_code, split_keep_java
 from eventide.functions.table import register_split_words, split_words
 from eventide.operators import joins as J

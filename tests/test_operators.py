@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from eventide.operators import joins as J
 from eventide.operators import late as L
 from eventide.operators.patterns import followed_by_within, match_sequence

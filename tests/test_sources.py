@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from eventide.sinks.documents import to_documents, write_documents
 from eventide.sources.files import (parse_access_log, read_access_log, read_csv_table, read_key_ts_lines,
                                     read_user_behaviour)
