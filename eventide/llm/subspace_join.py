@@ -15,9 +15,9 @@ so the union of the blocks' range joins misses no pair:
    Cells that are still crowded are cut in chunks, and every two chunks meet
    in a task of their own.
 3. In a task the block's distances come from matrix products.  A pair that
-   passes is kept only where no earlier block has it (the rotated coordinates
-   are rounded once and stored, so all tasks agree), and is then verified by
-   its cosine in double precision on the original vectors.
+   passes is kept only where no earlier block has it (all tasks compute the
+   same bits of a rotated vector, so they agree), and is then verified by its
+   cosine in double precision on the original vectors.
 4. Tasks hand on link counts per class and a spanning forest of their links,
    never the pairs themselves; components come from star rounds.
 
@@ -47,10 +47,10 @@ from eventide.llm.simhash import components
 
 THRESHOLD = 0.93
 BLOCK_DIMS = 8
-CELL_ROWS = 4096
+CELL_ROWS = 8192
 SEED = 12
-# Room for the rounding of stored rotated coordinates and of matrix products.
-ROUNDING, PRODUCT = 1e-5, 1e-4
+# Room for the rounding of rotated coordinates and of matrix products.
+ROUNDING, PRODUCT = 1e-9, 1e-9
 TILE = 1024
 PAIRS = 1 << 18
 
@@ -60,28 +60,48 @@ KEYS = ["label", "size", "block", "cell"]
 # ---------------------------------------------------------------- geometry
 
 def blocks_of(size: int, block_dims: int = BLOCK_DIMS) -> list[slice]:
-    """The coordinate blocks of vectors of a size, as even as can be."""
-    parts = max(1, round(size / block_dims))
-    ends = [size * i // parts for i in range(parts + 1)]
+    """The coordinate blocks of rotated vectors of a size, as even as can be."""
+    wide = width_of(size)
+    parts = max(1, round(wide / block_dims))
+    ends = [wide * i // parts for i in range(parts + 1)]
     return [slice(a, b) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def budgets(size: int, threshold: float, block_dims: int = BLOCK_DIMS) -> list[float]:
     """Each block's share of the squared distance, in proportion to its width."""
     total = 2 - 2 * threshold + ROUNDING
-    return [total * (b.stop - b.start) / size for b in blocks_of(size, block_dims)]
-
-
-def rotation(size: int) -> np.ndarray:
-    """A seeded random rotation (orthogonal matrix)."""
-    q, r = np.linalg.qr(np.random.default_rng([SEED, size]).standard_normal((size, size)))
-    return q * np.sign(np.diag(r))
-
-
-def directions(vectors: np.ndarray) -> np.ndarray:
-    """Rows scaled to length one, whatever their magnitude."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+    return [total * (b.stop - b.start) / width_of(size) for b in blocks_of(size, block_dims)]
+
+
+def width_of(size: int) -> int:
+    """Coordinates of a rotated vector: the next power of two."""
+    return 1 << max(0, size - 1).bit_length()
+
+
+def rotated(vectors: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one, under a seeded random rotation: two rounds
+    of sign flips and a Walsh-Hadamard transform.
+
+    Every number comes from the same element-wise steps whatever rows stand
+    beside it, so that all tasks get the same bits of a vector.
+    """
+    n, size = vectors.shape
+    wide = width_of(size)
+    out = np.zeros((n, wide))
+    out[:, :size] = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    squares = np.zeros(n)
+    for k in range(size):
+        squares = squares + out[:, k] * out[:, k]
+    out /= np.sqrt(squares)[:, None]
+    for signs in np.random.default_rng([SEED, size]).choice([-1.0, 1.0], (2, wide)):
+        out = out * signs
+        step = 1
+        while step < wide:
+            pairs = out.reshape(n, -1, 2, step)
+            out = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(n, wide)
+            step *= 2
+        out = out / math.sqrt(wide)
+    return out
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -107,33 +127,10 @@ def _marked(vectors: DataFrame) -> DataFrame:
                           F.when(part, F.transform(e, lambda x: x + zero)).alias("vec"))
 
 
-def _turned(classes: DataFrame) -> DataFrame:
-    """Classes with their rotated direction, in single precision."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn: dict[int, np.ndarray] = {}
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            for size in np.unique(sizes).tolist():
-                part = batch.filter(pa.array(sizes == size))
-                if size not in turn:
-                    turn[size] = rotation(size)
-                out = (directions(_matrix(part.column("vec"), size)) @ turn[size]).astype(np.float32)
-                yield part.append_column("turned", _lists(out))
-
-    schema = T.StructType([*classes.schema, T.StructField("turned", T.ArrayType(T.FloatType()))])
-    return classes.mapInArrow(run, schema)
-
-
 def _matrix(lists: pa.Array, size: int) -> np.ndarray:
     return lists.flatten().to_numpy().astype(np.float64).reshape(-1, size)
 
 
-def _lists(rows: np.ndarray) -> pa.Array:
-    n, size = rows.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(rows.ravel()))
-
-
 # -------------------------------------------------------------- range join
 
 def _cells(coords: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
@@ -159,7 +156,7 @@ def _cells(coords: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.n
 
 def _placed(classes: DataFrame, threshold: float, depth: int, block_dims: int, with_vectors: bool) -> DataFrame:
     """One row per class, block and cell: KEYS, guest, node, copies (and the vectors)."""
-    carried = ["node", "copies", *(["vec", "turned"] if with_vectors else [])]
+    carried = ["node", "copies", *(["vec"] if with_vectors else [])]
     schema = T.StructType([classes.schema["label"], classes.schema["size"], T.StructField("block", T.IntegerType()),
                            T.StructField("cell", T.BinaryType()), T.StructField("guest", T.BooleanType()),
                            *[classes.schema[c] for c in carried]])
@@ -169,7 +166,7 @@ def _placed(classes: DataFrame, threshold: float, depth: int, block_dims: int, w
             sizes = batch.column("size").to_numpy()
             for size in np.unique(sizes).tolist():
                 part = batch.filter(pa.array(sizes == size))
-                turned = _matrix(part.column("turned"), size)
+                turned = rotated(_matrix(part.column("vec"), size))
                 shares = budgets(size, threshold, block_dims)
                 for b, at in enumerate(blocks_of(size, block_dims)):
                     radius = math.sqrt(shares[b]) * (1 + 1e-6)
@@ -182,16 +179,15 @@ def _placed(classes: DataFrame, threshold: float, depth: int, block_dims: int, w
                             [taken.column("label"), taken.column("size"), pa.array(np.full(len(rows), b, np.int32)), names,
                              pa.array(np.full(len(rows), guest)), *[taken.column(c) for c in carried]], schema.fieldNames())
 
-    need = classes.select("label", "size", "node", "copies", *(["vec"] if with_vectors else []), "turned")
-    return need.mapInArrow(run, schema)
+    return classes.select("label", "size", "node", "copies", "vec").mapInArrow(run, schema)
 
 
 class Cell:
     """The members of one cell (or of two chunks of it) in one block."""
 
-    def __init__(self, size: int, block: int, vectors: np.ndarray, turned: np.ndarray, guest: np.ndarray, chunk: np.ndarray,
-                 threshold: float, block_dims: int):
-        self.block, self.vectors, self.turned, self.guest, self.chunk, self.threshold = block, vectors, turned, guest, chunk, threshold
+    def __init__(self, block: int, vectors: np.ndarray, guest: np.ndarray, chunk: np.ndarray, threshold: float, block_dims: int):
+        self.block, self.vectors, self.guest, self.chunk, self.threshold = block, vectors, guest, chunk, threshold
+        self.turned, size = rotated(vectors), vectors.shape[1]
         self.at, self.shares = blocks_of(size, block_dims), budgets(size, threshold, block_dims)
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -214,7 +210,7 @@ class Cell:
         values = np.unique(self.chunk)
         left = np.flatnonzero(self.chunk == values[0])
         right = np.flatnonzero(self.chunk == values[-1])
-        coords = self.turned[:, self.at[self.block]].astype(np.float64)
+        coords = self.turned[:, self.at[self.block]]
         squares = (coords * coords).sum(axis=1)
         limit = self.shares[self.block] + PRODUCT
         for i in range(0, len(left), TILE):
@@ -234,7 +230,7 @@ class Cell:
         """Squared distances in a block, by the same sums in every task."""
         total = np.zeros(len(x))
         for k in range(self.at[block].start, self.at[block].stop):
-            d = self.turned[x, k].astype(np.float64) - self.turned[y, k]
+            d = self.turned[x, k] - self.turned[y, k]
             total = total + d * d
         return total
 
@@ -270,8 +266,8 @@ def _found(placed: DataFrame, threshold: float, block_dims: int) -> DataFrame:
         size, block = group.column("size")[0].as_py(), group.column("block")[0].as_py()
         col = lambda name: group.column(name).combine_chunks()
         node, copies = col("node").to_numpy(), col("copies").to_numpy()
-        cell = Cell(size, block, _matrix(col("vec"), size), col("turned").flatten().to_numpy().reshape(-1, size),
-                    col("guest").to_numpy(zero_copy_only=False), col("chunk").to_numpy(), threshold, block_dims)
+        cell = Cell(block, _matrix(col("vec"), size), col("guest").to_numpy(zero_copy_only=False), col("chunk").to_numpy(),
+                    threshold, block_dims)
         links, forest = np.zeros(len(node), np.int64), Forest(len(node))
         for x, y in cell.links():
             np.add.at(links, x, copies[y])
@@ -310,9 +306,9 @@ def near_copies(vectors: DataFrame, threshold: float = THRESHOLD, block_dims: in
                 cell_rows: int = CELL_ROWS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     marked = _marked(vectors)
-    classes = save(_turned(marked.filter("vec is not null").groupBy("label", "vec")
-                           .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-                           .withColumn("size", F.size("vec"))), "subspace-classes")
+    classes = save(marked.filter("vec is not null").groupBy("label", "vec")
+                   .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+                   .withColumn("size", F.size("vec")), "subspace-classes")
     largest = classes.groupBy("label", "size").count().agg(F.max("count")).first()[0] or 0
     depth = depth_for(largest, cell_rows, block_dims)
     sizes = _placed(classes, threshold, depth, block_dims, False).groupBy(*KEYS).agg(F.count("*").alias("n"))
