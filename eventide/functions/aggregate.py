@@ -7,7 +7,7 @@ final one after; no Python, no per-group buffering.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def avg_of(col: str) -> Column:
@@ -17,3 +17,11 @@ def avg_of(col: str) -> Column:
 
 def avg_per_key(df: DataFrame, key: str, value: str, name: str = "avg_temp") -> DataFrame:
     return df.groupBy(key).agg(avg_of(value).alias(name))
+
+
+def register_avg_result(spark: SparkSession, name: str = "avg_result") -> None:
+    """K5 for SQL: the result function of the (sum, count) accumulator, used as
+    ``avg_result(sum(x), count(x))``.  The accumulator's two parts are built-in
+    aggregates, so SQL queries keep the partial aggregate too (a SQL function
+    may not hold an aggregate itself)."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(total DOUBLE, n BIGINT) RETURNS DOUBLE RETURN total / nullif(n, 0)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.functions.aggregate import avg_per_key
+from eventide.functions.aggregate import avg_per_key, register_avg_result
 from eventide.functions.scalar import epoch_ms_text, hash_code, register_hash_code
 from eventide.functions.table import register_split_words, split_words
 from eventide.plans.registry import query
@@ -84,6 +84,16 @@ def avg_udaf(spark, sf):
     return out.select("id", F.round("avg_temp", 6).alias("avg_temp"))
 
 
+@query("avg_udaf_sql", oracle=with_(SENSOR) +
+       "SELECT id, round(sum(temperature) / count(temperature), 6) AS avg_temp FROM sensor GROUP BY id")
+def avg_udaf_sql(spark, sf):
+    """K5 in SQL: the registered result function over the accumulator (sum, count)."""
+    register_avg_result(spark)
+    _sensor(spark, sf).createOrReplaceTempView("eventide_avg_sensor")
+    return spark.sql("SELECT id, round(mean, 6) AS avg_temp FROM (SELECT id, avg_result(sum(temperature), count(temperature)) AS mean "
+                     "FROM eventide_avg_sensor GROUP BY id)")
+
+
 @query("json_docs", oracle=with_(SENSOR) + """
 SELECT 'sensor' AS "index",
        CAST(to_json(struct_pack(data := 'SensorReading(' || id || ',' || CAST(ts_ms AS VARCHAR) || ','

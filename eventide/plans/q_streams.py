@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventide.operators import distinct as D
 from eventide.operators import windows as W
+from eventide.operators.bloom import distinct_bloom
 from eventide.operators.topn import top_n_by_count
 from eventide.plans import q_distinct, q_joins, q_patterns, q_state, q_topn, q_windows
 from eventide.plans.registry import REGISTRY, query
@@ -71,6 +72,12 @@ def stream_uv_incremental(spark, sf):
     return _run(spark, sf, build, "stream_uv_incremental")
 
 
+@query("stream_uv_bloom", oracle=_oracle("uv_bloom"))
+def stream_uv_bloom(spark, sf):
+    """D15 on a stream: bits per (window, bucket), then their count per window, released by the watermark."""
+    return _run(spark, sf, lambda s: distinct_bloom(S.page_views(s), "user_id", DAY), "stream_uv_bloom")
+
+
 @query("stream_hot_items_top3", oracle=_oracle("hot_items_top3"))
 def stream_hot_items_top3(spark, sf):
     """E1 on a stream: sliding counts in append mode; every window's counts are

@@ -39,6 +39,6 @@ def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
     from eventide.plans import (  # noqa: F401
         q_windows, q_distinct, q_topn, q_joins, q_patterns, q_late, q_state, q_functions,
-        q_streams, q_sources,
+        q_streams, q_sources, q_late_streams,
     )
     return REGISTRY

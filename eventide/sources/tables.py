@@ -139,10 +139,10 @@ ARRIVAL_SPREAD_S = 3600   # out-of-order arrival: up to one hour behind event ti
 ARRIVAL_MULT = 7919
 
 
-def with_arrival(ev: DataFrame) -> DataFrame:
-    """Deterministic out-of-order arrival time: ts + (event_id * 7919 % 3600) s.
+def with_arrival(ev: DataFrame, spread_s: int = ARRIVAL_SPREAD_S) -> DataFrame:
+    """Deterministic out-of-order arrival time: ts + (event_id * 7919 % spread_s) s.
 
     Rows arrive ordered by (arrival_ms, event_id).
     """
-    delay = (F.col("event_id") * ARRIVAL_MULT % ARRIVAL_SPREAD_S) * 1000
+    delay = (F.col("event_id") * ARRIVAL_MULT % spread_s) * 1000
     return ev.withColumn("arrival_ms", F.col("ts_ms") + delay)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.session import ensure_rocksdb_state_store, scratch_path
+from eventide.streaming.late import split_late_batches, window_is_closed
 
 
 def start_continuous(result: DataFrame, name: str, sink: str = "parquet", path: str | None = None,
@@ -39,3 +40,15 @@ def start_continuous(result: DataFrame, name: str, sink: str = "parquet", path:
     else:
         w = w.format(sink).option("path", path or scratch_path(spark, f"sink-{name}"))
     return w.start()
+
+
+def start_periodic_watermark(rows: DataFrame, name: str, ts_ms: str, path: str, bound_ms: int = 10_000,
+                             window_ms: int = 10_000, trigger: str = "60 seconds", checkpoint: str | None = None) -> StreamingQuery:
+    """A continuous stream whose watermark moves only at trigger ticks.
+
+    The watermark is the largest event time of the ticks before minus the
+    bound; all rows of a tick meet the same one.  Rows whose tumbling window it
+    has closed go to ``side=late`` under ``path``, all others to ``side=main``
+    (see ``streaming.late``)."""
+    writer = split_late_batches(ts_ms, bound_ms, window_is_closed(ts_ms, window_ms))(path)
+    return start_continuous(rows, name, trigger=trigger, batch_writer=writer, checkpoint=checkpoint)

@@ -110,7 +110,8 @@ def run_bounded(spark: SparkSession, source_path: str, schema, build: Callable[[
                 purpose: str, output_mode: str = "append",
                 batch_writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
                 flush: DataFrame | None = None, max_files_per_trigger: int | None = None,
-                max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+                max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER, before_flush: Callable[[], None] | None = None,
+                no_data_batches: bool = True) -> DataFrame:
     """Stream the table at ``source_path`` in place through ``build``, with
     ``availableNow``; optionally restart once with ``flush`` rows; return the
     sink's contents as a batch DataFrame.
@@ -118,19 +119,55 @@ def run_bounded(spark: SparkSession, source_path: str, schema, build: Callable[[
     The input is not copied: the stream reads the table's own files, unioned
     with a flush folder that stays empty until the restart.  A micro-batch
     takes ``max_bytes_per_trigger`` of files, or ``max_files_per_trigger``.
+    ``before_flush`` runs before the restart (to let the clock pass a window).
+    Processing-time timers ask for another batch for ever: such a plan runs
+    without batches that bring no data (``no_data_batches``).
 
     Raises if any row came too late for the watermark, or if rows were read
     and the sink's folder is missing: a run is whole or it fails.
     """
+    base = scratch_path(spark, purpose)
+    flush_dir = f"{base}/flush"
+    p, fs = _hadoop_fs(spark, flush_dir)
+    fs.mkdirs(p)
+
+    def make() -> DataFrame:
+        data = file_stream(spark, source_path, schema, max_files_per_trigger, max_bytes_per_trigger)
+        return build(data.unionByName(spark.readStream.schema(schema).parquet(flush_dir)))
+
+    def again() -> None:
+        if before_flush is not None:
+            before_flush()
+        flush.select(*schema.names).write.mode("append").parquet(flush_dir)
+
+    extra = {} if no_data_batches else {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    with stream_settings(spark, extra):
+        return _run(spark, base, make, purpose, output_mode, batch_writer, again if flush is not None else None)
+
+
+def run_plan(spark: SparkSession, make: Callable[[], DataFrame], purpose: str, output_mode: str = "append",
+             batch_writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None) -> DataFrame:
+    """``run_bounded`` for a plan over any sources that end: ``make`` returns
+    the streaming result."""
     with stream_settings(spark):
-        return _run_bounded(spark, source_path, schema, build, purpose, output_mode, batch_writer, flush,
-                            max_files_per_trigger, max_bytes_per_trigger)
+        return _run(spark, scratch_path(spark, purpose), make, purpose, output_mode, batch_writer, None)
+
+
+def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+    """The table at ``path`` as a stream, some files a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.parquet(stream_path(spark, path))
 
 
 @contextlib.contextmanager
-def stream_settings(spark: SparkSession):
+def stream_settings(spark: SparkSession, extra: dict[str, str] | None = None):
     """The settings of a bounded run; the caller's own come back afterwards."""
-    keys = {STATE_STORE: ROCKSDB_PROVIDER, "spark.sql.streaming.numRecentProgressUpdates": "1000000"}
+    keys = {STATE_STORE: ROCKSDB_PROVIDER, "spark.sql.streaming.numRecentProgressUpdates": "1000000"} | (extra or {})
     before = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
@@ -141,25 +178,13 @@ def stream_settings(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _run_bounded(spark, source_path, schema, build, purpose, output_mode, batch_writer, flush,
-                 max_files_per_trigger, max_bytes_per_trigger) -> DataFrame:
-    base = scratch_path(spark, purpose)
-    flush_dir, out, ck = f"{base}/flush", f"{base}/output", f"{base}/checkpoint"
-    p, fs = _hadoop_fs(spark, flush_dir)
-    fs.mkdirs(p)
-    table = stream_path(spark, source_path)
+def _run(spark, base, make, purpose, output_mode, batch_writer, again) -> DataFrame:
+    out, ck = f"{base}/output", f"{base}/checkpoint"
     result_schema, rows_read = None, 0
 
     def start() -> None:
         nonlocal result_schema, rows_read
-        reader = spark.readStream.schema(schema)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        else:
-            reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-        data = reader.parquet(table)
-        extra = spark.readStream.schema(schema).parquet(flush_dir)
-        result = build(data.unionByName(extra))
+        result = make()
         result_schema = result.schema
         w = (result.writeStream.option("checkpointLocation", ck)
              .outputMode(output_mode).trigger(availableNow=True))
@@ -178,8 +203,8 @@ def _run_bounded(spark, source_path, schema, build, purpose, output_mode, batch_
             raise RuntimeError(f"{purpose}: the watermark dropped {late} rows; give the stream a larger delay")
 
     start()
-    if flush is not None:
-        flush.select(*schema.names).write.mode("append").parquet(flush_dir)
+    if again is not None:
+        again()
         start()
     if not _has_files(spark, out):
         p, fs = _hadoop_fs(spark, out)
