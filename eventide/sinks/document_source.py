@@ -19,7 +19,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
@@ -42,16 +42,17 @@ class _Documents:
     """What the batch and the stream writer share."""
 
     def __init__(self, path: str, bulk: int):
-        self.path, self.bulk = path, bulk
+        # Made by the driver and sent to the tasks: all files of this writer stand in one folder.
+        self.path, self.bulk, self.staged = path, bulk, f"_staged/{uuid.uuid4().hex}"
 
     def write(self, rows: Iterator[Row]) -> Staged:
         store, folder = open_folder(self.path)
-        store.create_dir(f"{folder}/_staged", recursive=True)
+        store.create_dir(f"{folder}/{self.staged}", recursive=True)
         task, open_files, waiting, files = uuid.uuid4().hex, {}, {}, []
 
         def send(index: str) -> None:
             if index not in open_files:
-                name = f"{folder}/_staged/{task}-{len(open_files)}.json"
+                name = f"{folder}/{self.staged}/{task}-{len(open_files)}.json"
                 files.append((index, name))
                 open_files[index] = store.open_output_stream(name)
             open_files[index].write("".join(f"{doc}\n" for doc in waiting.pop(index)).encode())
@@ -65,47 +66,39 @@ class _Documents:
                     send(index)
             for index in list(waiting):
                 send(index)
+        finally:
             for f in open_files.values():
                 f.close()
-        except BaseException:
-            for f in open_files.values():
-                f.close()
-            self._remove(store, files)
-            raise
         return Staged(files)
 
     def publish(self, messages: list[Staged | None], batch: int) -> None:
         """Moves a micro-batch's files into place, instead of an earlier attempt's."""
         store, folder = open_folder(self.path)
         files = [f for m in messages if m is not None for f in m.files]
+        place = lambda index: f"{folder}/index={quote(index, safe='')}/batch={batch}"
         for index in {index for index, _ in files} | self._indexes(store, folder):
-            place = f"{folder}/index={quote(index, safe='')}/batch={batch}"
-            from pyarrow import fs
-            if store.get_file_info(place).type != fs.FileType.NotFound:
-                store.delete_dir(place)
+            self._remove(store, place(index))
         for index, name in files:
-            place = f"{folder}/index={quote(index, safe='')}/batch={batch}"
-            store.create_dir(place, recursive=True)
-            store.move(name, f"{place}/{name.rsplit('/', 1)[1]}")
+            store.create_dir(place(index), recursive=True)
+            store.move(name, f"{place(index)}/{name.rsplit('/', 1)[1]}")
+        self.discard()
 
-    def discard(self, messages: list[Staged | None]) -> None:
-        store, _ = open_folder(self.path)
-        self._remove(store, [f for m in messages if m is not None for f in m.files])
+    def discard(self) -> None:
+        """Removes what tasks have staged, those too that failed half-way."""
+        store, folder = open_folder(self.path)
+        self._remove(store, f"{folder}/{self.staged}")
 
     @staticmethod
     def _indexes(store, folder: str) -> set[str]:
-        from urllib.parse import unquote
-
         from pyarrow import fs
         found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
         return {unquote(f.base_name[6:]) for f in found if f.base_name.startswith("index=")}
 
     @staticmethod
-    def _remove(store, files) -> None:
+    def _remove(store, place: str) -> None:
         from pyarrow import fs
-        for _, name in files:
-            if store.get_file_info(name).type != fs.FileType.NotFound:
-                store.delete_file(name)
+        if store.get_file_info(place).type != fs.FileType.NotFound:
+            store.delete_dir(place)
 
 
 class BatchDocuments(_Documents, DataSourceWriter):
@@ -113,7 +106,7 @@ class BatchDocuments(_Documents, DataSourceWriter):
         self.publish(messages, 0)
 
     def abort(self, messages) -> None:
-        self.discard(messages)
+        self.discard()
 
 
 class StreamDocuments(_Documents, DataSourceStreamWriter):
@@ -121,7 +114,7 @@ class StreamDocuments(_Documents, DataSourceStreamWriter):
         self.publish(messages, batchId)
 
     def abort(self, messages, batchId: int) -> None:
-        self.discard(messages)
+        self.discard()
 
 
 class JsonDocuments(DataSource):
