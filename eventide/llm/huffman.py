@@ -39,6 +39,8 @@ BLOCK_IDS = 1 << 16
 # Ids in a file; a file is one task's work.
 FILE_IDS = 1 << 23
 END_ID = 2
+# Ids of the blocks that a reader decodes in step.
+DECODE_IDS = 1 << 19
 
 _BLOCK = ("ev_file int, block int, start long, doc_ids array<long>, doc_lengths array<long>, "
           "bits binary, checkpoints binary")
@@ -111,45 +113,59 @@ def encode_documents(ids: np.ndarray, doc_lengths: np.ndarray, codes: np.ndarray
     Returns (bytes, byte start of each document, bit offset of each checkpoint
     from its document's start); a document's checkpoints are its ids 0, LANE, ...
     """
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
+    ends = np.cumsum(lengths[ids], dtype=np.int64)
     first = np.cumsum(doc_lengths) - doc_lengths
-    before = ends - size
-    doc_bits = ends[first + doc_lengths - 1] - before[first]
+    doc_ends = ends[first + doc_lengths - 1]
+    doc_bits = np.diff(doc_ends, prepend=0)
     doc_bytes = -(-doc_bits // 8)
     byte_start = np.cumsum(doc_bytes) - doc_bytes
-    doc_of = np.repeat(np.arange(len(doc_lengths)), doc_lengths)
-    inside = before - before[first][doc_of]
-    at = inside + 8 * byte_start[doc_of]
     total = int(doc_bytes.sum())
-    # A code of up to 25 bits lies within 4 bytes from its first one.
-    word = codes[ids].astype(np.uint64) << (32 - size - (at & 7)).astype(np.uint64)
-    out = np.zeros(total + 4)
-    for k in range(4):
-        out += np.bincount((at >> 3) + k, (word >> np.uint64(24 - 8 * k)) & np.uint64(255), total + 4)
-    place = np.arange(len(ids)) - first[doc_of]
-    return out[:total].astype(np.uint8).tobytes(), byte_start, inside[place % LANE == 0].astype("<u4")
+    # Where each code starts: the codes before it, and the bits that fill up bytes.
+    at = np.repeat(8 * byte_start - (doc_ends - doc_bits), doc_lengths)
+    at[1:] += ends[:-1]
+    # A code lies within 64 bits from the start of its first 32-bit word.  Codes
+    # stand in order and share no bit, so a word is the sum of its codes' parts.
+    word = at >> 5
+    aligned = codes.astype(np.uint64) << (64 - lengths.astype(np.uint64))
+    shifted = aligned[ids] >> (at & 31).astype(np.uint64)
+    starts = np.flatnonzero(np.diff(word, prepend=-1))
+    out = np.zeros(total // 4 + 3, np.uint64)
+    out[word[starts]] = np.add.reduceat(shifted >> np.uint64(32), starts)
+    out[word[starts] + 1] += np.add.reduceat(shifted & np.uint64(0xFFFFFFFF), starts)
+    lanes = -(-doc_lengths // LANE)
+    lane_of = np.arange(int(lanes.sum())) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+    marks = at[np.repeat(first, lanes) + LANE * lane_of] - np.repeat(8 * byte_start, lanes)
+    return out.astype(">u4").tobytes()[:total], byte_start, marks.astype("<u4")
 
 
 def decode_lanes(bits: bytes, at: np.ndarray, lane_ids: np.ndarray, table: tuple[np.ndarray, np.ndarray],
                  max_bits: int = MAX_BITS) -> np.ndarray:
-    """Ids of lanes that start at bit offsets ``at``; lanes advance in step."""
-    ids_of, bits_of = table
+    """Ids of lanes that start at bit offsets ``at``; lanes advance in step.
+
+    Each lane is a row of a matrix whose columns are the steps, so a step
+    writes one column; the longest lanes stand first and shorter ones stop."""
+    # One entry a window: the id above the code's length.
+    entry_of = (table[0].astype(np.uint32) << 8) | table[1]
     raw = np.frombuffer(bits + b"\0\0\0\0", np.uint8)
     words = ((raw[:-3].astype(np.uint32) << 24) | (raw[1:-2].astype(np.uint32) << 16)
              | (raw[2:-1].astype(np.uint32) << 8) | raw[3:])
-    out = np.empty(int(lane_ids.sum()), np.uint32)
-    start = np.cumsum(lane_ids) - lane_ids
     order = np.argsort(-lane_ids, kind="stable")      # lanes that go on longest first
-    pos, dest, left = at[order].astype(np.int64), start[order], lane_ids[order]
-    mask = np.uint32((1 << max_bits) - 1)
-    for step in range(int(left[0]) if len(left) else 0):
-        live = int(np.searchsorted(-left, -step, side="left"))
-        p = pos[:live]
-        window = (words[p >> 3] >> (32 - max_bits - (p & 7)).astype(np.uint32)) & mask
-        out[dest[:live] + step] = ids_of[window]
-        p += bits_of[window]
-    return out
+    pos, left = at[order].astype(np.int64), lane_ids[order]
+    steps = int(left[0]) if len(left) else 0
+    # How many lanes are still going at each step.
+    live = np.searchsorted(-left, -np.arange(steps), side="left").tolist()
+    grid = np.empty((steps, len(left)), np.uint32)
+    shift = np.uint32(32 - max_bits)
+    for step, n in enumerate(live):
+        p = pos[:n]
+        entry = entry_of[(words[p >> 3] << (p & 7).astype(np.uint32)) >> shift]
+        grid[step, :n] = entry
+        p += entry & 255
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    lanes = np.repeat(back, lane_ids)
+    start = np.cumsum(lane_ids) - lane_ids
+    return grid[np.arange(len(lanes)) - np.repeat(start, lane_ids), lanes] >> 8
 
 
 # ------------------------------------------------------------------- writing
@@ -325,21 +341,37 @@ def _decoded(spark: SparkSession, path: str, digest: bool) -> DataFrame:
     lengths = np.frombuffer(bytes(packed), np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = decode_table(lengths)
+        tables, held, ids_held = decode_table(lengths), [], 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                start, doc_ids, sizes, bits, marks = (batch.column(k)[i].as_py() for k in range(5))
-                sizes = np.array(sizes, np.int64)
-                ids = decode_lanes(bits, np.frombuffer(marks, "<u8"), _lane_sizes(sizes), tables)
-                raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(sizes)
-                spans = [(4 * int(e - n), 4 * int(e)) for e, n in zip(ends, sizes, strict=True)]
-                if digest:
-                    last = pa.array([zlib.crc32(raw[a:b]) for a, b in spans], pa.int64())
-                else:
-                    last = pa.array([ids[a // 4:b // 4] for a, b in spans], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(start + ends - sizes, pa.int64()), pa.array(sizes, pa.int64()), last],
-                    ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
+            for block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(block)
+                ids_held += sum(block[2])
+                if ids_held >= DECODE_IDS:
+                    yield decoded(held, tables)
+                    held, ids_held = [], 0
+        if held:
+            yield decoded(held, tables)
+
+    def decoded(blocks: list[tuple], tables) -> pa.RecordBatch:
+        """Some blocks together: all their lanes advance in step."""
+        doc_ids = [d for block in blocks for d in block[1]]
+        sizes = np.array([n for block in blocks for n in block[2]], np.int64)
+        before = np.cumsum([0, *(len(block[3]) for block in blocks)])[:-1]
+        marks = np.concatenate([np.frombuffer(block[4], "<u8").astype(np.int64) + 8 * int(b)
+                                for block, b in zip(blocks, before, strict=True)])
+        ids = decode_lanes(b"".join(block[3] for block in blocks), marks, _lane_sizes(sizes), tables)
+        ends = np.cumsum(sizes)
+        # A document's place: its block's start and the ids before it there.
+        inside = np.concatenate([np.cumsum(block[2]) - block[2] for block in blocks])
+        starts = np.repeat([block[0] for block in blocks], [len(block[2]) for block in blocks]) + inside
+        raw, spans = memoryview(ids.astype("<u4", copy=False)).cast("B"), zip((4 * (ends - sizes)).tolist(), (4 * ends).tolist(), strict=True)
+        if digest:
+            last = pa.array([zlib.crc32(raw[a:b]) for a, b in spans], pa.int64())
+        else:
+            last = pa.array([ids[a // 4:b // 4] for a, b in spans], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), last],
+            ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
 
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks").select("start", "doc_ids", "doc_lengths", "bits", "checkpoints")
     return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids array<long>"))
