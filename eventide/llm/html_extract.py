@@ -17,8 +17,10 @@ so the trees learn shapes and not one template; nodes are labelled by which
 text they came from.  Training runs in one task on that bounded sample.
 
 Defined cases: null or empty html, and pages without main text, give an empty
-text; scripts, styles, comments, head and other unseen elements never count;
-unclosed and stray tags are repaired as browsers do in the common cases; a cut
+text; scripts, styles, comments, head and other unseen elements never count, and
+only raw text (scripts, styles, text areas, titles) may run to the end of the
+page where its end tag is missing; formulas and the inner text of objects, audio
+and video are text like any other; unclosed and stray tags are repaired as browsers do in the common cases; a cut
 last tag or reference is text as it stands; null page_ids and urls stay null;
 repeated rows come out alike; without a page that marks its article the fixed
 texts of ``FALLBACK`` train the trees; an empty table gives no rows.
@@ -44,14 +46,19 @@ BATCH_PAGES = 128
 
 # Element groups of HTML (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style noscript template svg math iframe object audio video canvas map select textarea title".split())
+UNSEEN = frozenset("head template svg select datalist annotation annotation-xml".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
-FORMAT = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span "
-                   "strike strong sub sup time tt u var label".split())
+# Raw text that runs to the end of the page where its end tag is missing.
+RAW_TO_END = frozenset("script style textarea title".split())
+FORMAT = frozenset("a abbr acronym audio b bdi bdo big canvas cite code data del dfn em font i ins kbd map mark object q rp rt ruby s "
+                   "samp small span strike strong sub sup time tt u var video label math mi mn mo ms mtext mrow msub msup msubsup "
+                   "mfrac msqrt mroot mstyle mspace munder mover munderover mpadded mphantom semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
                      "h6 header hr main menu nav ol p pre section table ul".split())
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                 "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
+# Elements that cannot stand in an unseen one: they end it (a template holds anything).
+ENDS_UNSEEN = (CLOSES_P | {"body", "li", "td", "tr"}) - {"hr"}
 BARRIER = frozenset("table ul ol dl body html article section div main nav aside header footer form td th blockquote".split())
 
 # Names that page authors give to parts of a page (fixed values).
@@ -98,7 +105,8 @@ class Page:
         self.pieces: list[tuple[int, str]] = []
         self.linked: list[bool] = []
         self._stack: list[tuple[str, int]] = []         # open elements and their nodes
-        self._links = 0
+        self._places: dict[str, list[int]] = {}         # where each open tag stands in the stack
+        self._links = self._hidden = 0
         self._read(source)
         self._split_mixed()
 
@@ -110,32 +118,46 @@ class Page:
             self.pieces.append((-1, " "))
 
     def _text(self, raw: str) -> None:
-        if raw:
+        if raw and not self._hidden:
             text = html.unescape(raw) if "&" in raw else raw
             self.pieces.append((self._node(), text))
             if self._links:
                 self.linked.append(len(self.pieces) - 1)
 
+    def _push(self, tag: str, node: int) -> None:
+        self._places.setdefault(tag, []).append(len(self._stack))
+        self._stack.append((tag, node))
+        self._links += tag == "a"
+        self._hidden += tag in UNSEEN
+
     def _pop_to(self, at: int) -> None:
         for tag, _ in self._stack[at:]:
-            if tag == "a":
-                self._links -= 1
-            if tag not in FORMAT:
+            self._places[tag].pop()
+            self._links -= tag == "a"
+            self._hidden -= tag in UNSEEN
+            if tag not in FORMAT and tag != "svg":
                 self._break()
         del self._stack[at:]
 
+    def _top(self, tags) -> int:
+        """The innermost place of any of the tags; -1 if none is open."""
+        return max((held[-1] for t in tags if (held := self._places.get(t))), default=-1)
+
     def _find(self, tags, barrier) -> int:
-        for i in range(len(self._stack) - 1, -1, -1):
-            if self._stack[i][0] in tags:
-                return i
-            if self._stack[i][0] in barrier:
-                return -1
-        return -1
+        """The innermost place of any of the tags above the innermost barrier."""
+        at = self._top(tags)
+        return at if at >= 0 and at >= self._top(barrier) else -1
 
     def _open(self, tag: str, attributes: str) -> None:
+        if self._hidden:
+            if tag not in ENDS_UNSEEN or self._places.get("template"):
+                if tag not in VOID and not attributes.endswith("/"):
+                    self._push(tag, self._node())
+                return
+            self._pop_to(min(held[0] for t in UNSEEN if (held := self._places.get(t))))
         if tag in CLOSES_P and (at := self._find(("p",), BARRIER)) >= 0:
             self._pop_to(at)
-        if tag in SELF_CLOSING and (at := self._find(SELF_CLOSING[tag], {"table", "ul", "ol", "dl", "select"})) >= 0:
+        if tag in SELF_CLOSING and (at := self._find(SELF_CLOSING[tag], ("table", "ul", "ol", "dl"))) >= 0:
             self._pop_to(at)
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -152,11 +174,10 @@ class Page:
             self.names.append(names)
             self.depth.append(self.depth[node] + 1)
             node = len(self.tag) - 1
-        self._stack.append((tag, node))
-        self._links += tag == "a"
+        self._push(tag, node)
 
     def _read(self, source: str) -> None:
-        at, end = 0, len(source)
+        at, unended = 0, set()                          # raw and template tags with no end tag from here on
         for m in iter(lambda: _TAG.search(source, at), None):
             self._text(source[at:m.start()])
             at = m.end()
@@ -170,37 +191,25 @@ class Page:
                     self._break()
                 continue
             attributes = m[3] or m[6] or ""
-            if tag in RAW and not attributes.endswith("/"):
-                close = re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
-                stop = close.start() if close else end
-                gt = source.find(">", stop)
-                at = gt + 1 if close and gt >= 0 else end
+            if (tag in RAW and not attributes.endswith("/")) or tag == "template":
+                close = None if tag in unended else re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
+                if close is None:
+                    unended.add(tag)
+                if tag in RAW_TO_END and close is None:
+                    at = len(source)
+                elif tag in RAW and close is not None:
+                    gt = source.find(">", close.start())
+                    at = gt + 1 if gt >= 0 else len(source)
+                elif tag == "template" and close is not None:
+                    self._push(tag, self._node())
             elif tag in UNSEEN:
-                at = self._skip(source, at, tag)
-            else:
+                if not attributes.endswith("/"):
+                    self._push(tag, self._node())
+            elif not (tag == "math" and attributes.endswith("/")):
                 self._open(tag, attributes)
         self._text(source[at:])
         self._pop_to(0)
 
-    @staticmethod
-    def _skip(source: str, at: int, tag: str) -> int:
-        """Behind the end of an unseen element; a head also ends at the body."""
-        ends = rf"</{tag}[\s/>]" + (r"|<body[\s>]|<(?:article|div|main|nav|p|header)[\s>]" if tag == "head" else "")
-        for m in re.compile(ends + ("|<(script|style|title)[\\s>]" if tag == "head" else ""), re.I).finditer(source, at):
-            if m.start() < at:
-                continue
-            if m.lastindex:                              # raw text within the head
-                close = re.compile(rf"</{m[1]}[\s/>]", re.I).search(source, m.end())
-                if not close:
-                    return len(source)
-                at = close.start()
-                continue
-            if m.group().startswith("</"):
-                gt = source.find(">", m.start())
-                return gt + 1 if gt >= 0 else len(source)
-            return m.start()
-        return len(source)
-
     def _split_mixed(self) -> None:
         """Texts of nodes that also have block children become leaves."""
         blocks = {p for p, t in zip(self.parent, self.tag, strict=True) if t not in FORMAT}
@@ -452,6 +461,9 @@ def lay_out(main: list[tuple[str, str]], others: list[str], rng: np.random.Gener
         if kind in ("menu", "sidebar") or (kind in ("header", "footer") and rng.random() < 0.5):
             items = "".join(f'<li><a href="/x">{words(1, 6)}</a></li>' for _ in range(int(rng.integers(2, 9))))
             return (f"<h3>{words(1, 3)}</h3>" if rng.random() < 0.4 else "") + f"<ul>{items}</ul>"
+        if kind == "comments" and rng.random() < 0.3:             # no names: who, and what they say
+            said = lambda: f"{words(1, 2)}: {words(2, 14)}"
+            return "".join(f"<p>{said()}</p>" if rng.random() < 0.7 else f"<div>{said()}</div>" for _ in range(int(rng.integers(1, 7))))
         if kind == "comments":
             note = lambda: f"<p>{words(6, 50)}</p>" if rng.random() < 0.6 else words(6, 50)
             return (f"<h3>{words(1, 3)}</h3>" if rng.random() < 0.7 else "") + "".join(
@@ -465,7 +477,8 @@ def lay_out(main: list[tuple[str, str]], others: list[str], rng: np.random.Gener
     def part(kind: str) -> str:
         tag = PART_TAGS[kind] if rng.random() < 0.5 else pick(("div", "section", "div"))
         name = ""
-        if tag != PART_TAGS[kind] or PART_TAGS[kind] in ("div", "section") or rng.random() < 0.4:
+        nameless = kind == "comments" and rng.random() < 0.3
+        if not nameless and (tag != PART_TAGS[kind] or PART_TAGS[kind] in ("div", "section") or rng.random() < 0.4):
             name = f' {pick(("class", "id"))}="{pick(PART_NAMES[kind])}{pick(("", "-box", " wide", "-1"))}"'
         return f"<{tag}{name}>{inner(kind)}</{tag}>"
 
@@ -473,6 +486,9 @@ def lay_out(main: list[tuple[str, str]], others: list[str], rng: np.random.Gener
         main = main[:int(rng.integers(1, 4))]
         if rng.random() < 0.6:
             main = [(t, " ".join(x.split()[:int(rng.integers(1, 8))])) for t, x in main]
+    untitled = [x for x in main if x[0] not in ("h1", "h2", "h3")]
+    if untitled and rng.random() < 0.2:
+        main = untitled
     # Some articles stand in bare text with line breaks, some in plain divs.
     style = rng.random()
     bare, plain = style < 0.2, 0.2 <= style < 0.3
@@ -487,6 +503,10 @@ def lay_out(main: list[tuple[str, str]], others: list[str], rng: np.random.Gener
         if rng.random() < 0.2:
             blocks.insert(len(blocks) if kind == "comments" else int(rng.integers(len(blocks) + 1)), part(kind))
     container = pick(("article", "article", "main", "div", "div", "section", ""))
+    if container and main and main[0][0] in ("h1", "h2", "h3") and rng.random() < 0.25:
+        # The article's own header holds its title.
+        title = next(i for i, b in enumerate(blocks) if MARK in b)
+        blocks[title] = f"<header{pick(('', ' class=entry-header', ' class=article-header', ' class=post-header'))}>{blocks[title]}</header>"
     body = "".join(blocks)
     if container:
         name = f' {pick(("class", "id"))}="{pick(CONTENT_NAMES)}"' if container in ("div", "section") and rng.random() < 0.8 or rng.random() < 0.3 else ""
