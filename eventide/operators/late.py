@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.functions.time import floor_div
 from eventide.operators.sequence import DEFAULT_TARGET_ROWS, key_struct, keyed_scan, time_buckets
+from eventide.session import cut_lineage
 
 
 def running_max_before(df: DataFrame, arrival_ms: str, tie: str, values: Mapping[str, Column],
@@ -100,7 +101,8 @@ def allowed_lateness_counts(df: DataFrame, key: str, arrival_ms: str, tie: str,
     close = F.col("window_end") - 1
     kind = (F.when(F.col("wm_ms").isNull() | (F.col("wm_ms") < close), F.lit(0))
              .when(F.col("wm_ms") < close + lateness_ms, F.lit(1)).otherwise(F.lit(2)))
-    w = w.withColumn("_kind", kind).filter(F.col("_kind") < 2)
+    # Both branches below read these rows: written once, the watermark is not taken twice.
+    w = cut_lineage(w.withColumn("_kind", kind).filter(F.col("_kind") < 2).select(key, "window_end", arrival_ms, tie, "_kind"))
     # On-time count per window: a partial + final aggregate, never one task per window.
     first = (w.filter(F.col("_kind") == 0).groupBy(key, "window_end")
               .agg(F.count(F.lit(1)).alias("cnt"))

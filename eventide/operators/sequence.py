@@ -20,6 +20,7 @@ size is under the broadcast threshold.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -88,10 +89,16 @@ def time_buckets(df: DataFrame, keys: Sequence[str], ts_ms: str, bucket_ms: int,
     probs = [i / pieces for i in range(1, pieces)]
     cuts = (x.join(hot, on=["_hk", "_b"], how="left_semi").groupBy("_hk", "_b")
               .agg(F.percentile_approx(ts_ms, probs, max(10_000, 20 * pieces)).alias("_cuts")))
+    # A row finds its piece in two steps of about the root of their number:
+    # among every ``step``-th cut, then among the cuts up to the next of these.
+    step = max(1, math.isqrt(pieces))
+    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda c, i: i % F.lit(step) == step - 1))
     x = x.join(cuts, on=["_hk", "_b"], how="left")
-    sub = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(ts_ms))), F.lit(0))
+    upto = lambda some: F.size(F.filter(some, lambda c: c <= F.col(ts_ms)))
+    x = x.withColumn("_at", upto(F.col("_coarse")) * F.lit(step))
+    sub = F.coalesce(F.col("_at") + upto(F.slice("_cuts", F.col("_at") + 1, F.lit(step))), F.lit(0))
     whole = F.greatest(F.col("_b"), F.lit(NO_TIME // (2 * _MAX_PIECES)))
-    return x.withColumn("_b", whole * (2 * _MAX_PIECES) + sub).drop("_hk", "_cuts")
+    return x.withColumn("_b", whole * (2 * _MAX_PIECES) + sub).drop("_hk", "_cuts", "_coarse", "_at")
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,

@@ -54,21 +54,9 @@ def window_count(df: DataFrame, keys: Sequence[str | Column], size: int | str,
                  slide: int | str | None = None, ts: str = "ts", name: str = "cnt") -> DataFrame:
     """Row count per key and window.
 
-    A batch sliding count is taken per (key, pane of one slide) first -- each
-    row is counted once, map side -- and the panes' counts are then added up
-    over the windows that hold them.
-    """
-    one = F.count(F.lit(1)).alias(name)
-    if slide is None or df.isStreaming or _ms(size) % _ms(slide) or _ms(size) == _ms(slide):
-        return window_aggregate(df, keys, size, [one], slide, ts)
-    names = [k if isinstance(k, str) else f"_k{i}" for i, k in enumerate(keys)]
-    panes = window_aggregate(df, keys, slide, [F.count(F.lit(1)).alias("_pane")], ts=ts)
-    panes = panes.toDF(*names, "_start", "_end", "_pane")
-    step, steps = _ms(slide), _ms(size) // _ms(slide)
-    starts = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda i: F.col("_start") - i * F.lit(step).cast("long"))
-    spread = panes.select(*names, F.explode(starts).alias("window_start"), "_pane")
-    out = spread.groupBy(*names, "window_start").agg(F.sum("_pane").cast("long").alias(name))
-    return out.select(*names, "window_start", (F.col("window_start") + F.lit(_ms(size))).alias("window_end"), name)
+    A sliding window is expanded before the map-side partial aggregate, so one
+    exchange carries a count per key and window, not the rows' copies."""
+    return window_aggregate(df, keys, size, [F.count(F.lit(1)).alias(name)], slide, ts)
 
 
 def window_min_max(df: DataFrame, key: str, value: str, size: int | str,

@@ -21,7 +21,7 @@ import contextlib
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eventide.session import ROCKSDB_PROVIDER, STATE_STORE, scratch_path
 
@@ -39,8 +39,9 @@ def events_flush_row(spark: SparkSession, table: DataFrame) -> DataFrame:
     watermark, so a flush row must survive the operator's own filters to
     reach it; one row per type does, whatever type the operator keeps.
     """
-    types = [r[0] for r in table.select("event_type").distinct().collect()]
-    low = table.agg(F.least(F.min("user_id"), F.min("event_id"), F.lit(0))).first()[0]
+    # One pass: the types (few) with the least key of each.
+    found = table.groupBy("event_type").agg(F.least(F.min("user_id"), F.min("event_id"), F.lit(0)).alias("low")).collect()
+    types, low = [r["event_type"] for r in found], min((r["low"] for r in found), default=0)
     rows = [(low - 1 - i, t) for i, t in enumerate(sorted(types, key=lambda t: (t is None, t)))]
     # Each flush row has its own key, so no key ever holds two of them: no
     # pattern, join or timer chain can form among flush rows.
@@ -65,13 +66,12 @@ def bounded_delay(table: DataFrame, ts_ms: Column) -> int:
     spans = (table.select(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"),
                           ts_ms.alias("t"))
              .groupBy("at", "file").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).filter("lo is not null"))
-    times = spans.groupBy("at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n")).orderBy("at").collect()
-    lag, top = 0, None
-    for r in times:
-        before = max(x for x in (top, r["hi"] if r["n"] > 1 else None, r["lo"]) if x is not None)
-        lag = max(lag, before - r["lo"])
-        top = r["hi"] if top is None else max(top, r["hi"])
-    return lag + 1
+    times = spans.groupBy("at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n"))
+    # The table of file times is small beside the data; one number leaves it.
+    top = F.max("hi").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.greatest(top, F.when(F.col("n") > 1, F.col("hi")), F.col("lo"))
+    lag = times.select((before - F.col("lo")).alias("lag")).agg(F.max("lag")).first()[0]
+    return (lag or 0) + 1
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
