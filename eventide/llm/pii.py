@@ -15,8 +15,8 @@ phone      + country code, 7 to 12 digits in groups,  digits after the code
            or 3-3-4 groups
 ip         four octets                                the 32-bit address
 secret     32 to 128 hexadecimal digits               all digits
-card       Luhn check of 13 to 19 digits; without     digits; a valid Luhn check
-           it 16 digits, or groups 4-4-4-4 or 4-6-5   digit stays valid
+card       Luhn check of 13 to 19 digits; without     digits; the Luhn sum keeps
+           it 16 digits, or groups 4-4-4-4 or 4-6-5   its remainder (valid: 0)
 =========  =========================================  =========================
 
 Strings run through a balanced Feistel network over their characters: a round
@@ -148,16 +148,16 @@ def luhn_sum(digits: str) -> str:
 
 
 def _card(value: str, key: str) -> str:
-    """Digits that fail the Luhn check are replaced where their layout names a
-    card: 16 digits, or groups; any other run stays."""
+    """Digits but the last are permuted, and the last keeps the Luhn sum's
+    remainder: valid runs stay valid, others stay invalid, and no two runs
+    share a pseudonym.  A run that fails the check is replaced only where its
+    layout names a card: 16 digits, or groups; any other stays."""
     digits = _digits(value)
-    body = f"left({digits}, length({digits}) - 1)"
-    moved = feistel_text(body, key, "card")
-    check = f"cast((10 - {luhn_sum('concat(p, 0)')} % 10) % 10 as string)"
-    valid = f"transform(array({moved}), p -> concat(p, {check}))[0]"
-    named = f"(length({digits}) = 16 or {value} rlike '[ -]')"
-    new = (f"case when {luhn_sum(digits)} % 10 = 0 then {valid} "
-           f"when {named} then {feistel_text(digits, key, 'number')} else {digits} end")
+    rest = f"{luhn_sum(digits)} % 10"
+    moved = feistel_text(f"left({digits}, length({digits}) - 1)", key, "card")
+    last = f"cast((10 + {rest} - {luhn_sum('concat(p, 0)')} % 10) % 10 as string)"
+    made = f"transform(array({moved}), p -> concat(p, {last}))[0]"
+    new = f"case when {rest} = 0 or length({digits}) = 16 or {value} rlike '[ -]' then {made} else {digits} end"
     return f"transform(array({new}), n -> {_poured(value, 'n')})[0]"
 
 
@@ -235,8 +235,9 @@ def with_pseudonyms(docs: DataFrame, key: str = KEY) -> DataFrame:
     """docs with ``ev_text``, the text with values replaced, and ``ev_found``,
     an array of structs (value, pseudonym) in text order."""
     text = F.col("text").cast("string")
-    # A value holds a digit or an "@"; most texts hold neither and are not searched.
-    likely = text.rlike("[0-9@]")
+    # A value holds a digit or an "@", or is a secret of letters; most texts hold
+    # none of these and are not searched.
+    likely = text.rlike("[0-9@]|[A-Fa-f]{32}")
     pattern = F.lit(_alternatives())
     found = F.when(likely, F.regexp_extract_all(text, pattern, F.lit(0)))
     df = docs.withColumn("ev_values", found)
