@@ -12,7 +12,7 @@ the largest mean over its words, and that mean is the score.
 Fitting takes whole texts of at most ``TRAIN_PER_LANG`` rows a language, the
 first by a hash of doc_id, in one task: AdaGrad on the log-likelihood.  Scoring
 runs many chains in step; emissions are computed once per distinct word and
-worker.  Chains longer than ``CHAIN_WORDS`` are continued as a new chain.
+worker.  A line is one chain, however long.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 null languages and null ids teach nothing; without any language to learn every
@@ -42,7 +42,6 @@ RATE = 0.25
 DECAY = 1e-6
 FEATURE_BITS = 17
 LEXICON_WORDS = 150
-CHAIN_WORDS = 512
 SWITCH_LINES = 4
 UNDETERMINED = "und"
 
@@ -95,10 +94,12 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 # ------------------------------------------------------------------ inference
 
-def chain_bounds(is_break: np.ndarray, limit: int = CHAIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of the runs between breaks, cut at ``limit``."""
+def chain_bounds(is_break: np.ndarray, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs between breaks; with a limit, cut there."""
     edge = np.flatnonzero(np.diff(np.concatenate([[1], is_break.astype(np.int8), [1]])))
     starts, sizes = edge[::2], edge[1::2] - edge[::2]
+    if limit is None:
+        return starts, sizes
     pieces = -(-sizes // limit)
     first = np.repeat(starts, pieces)
     nth = np.arange(len(first)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
