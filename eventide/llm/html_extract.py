@@ -458,6 +458,10 @@ def lay_out(main: list[tuple[str, str]], others: list[str], rng: np.random.Gener
         return esc(" ".join((text[start:] + text)[:int(rng.integers(low, high + 1))]))
 
     def inner(kind: str) -> str:
+        if kind == "header" and rng.random() < 0.5:               # the site's name, often as a heading
+            name = f"<{pick(('h1', 'h1', 'h2', 'div'))}>{words(1, 4)}</" if rng.random() < 0.8 else ""
+            name = f"{name}{name[1:name.index('>')]}>" if name else ""
+            return name + (f'<a href="/">{words(1, 2)}</a>' if rng.random() < 0.6 or not name else "") + (f"<p>{words(2, 8)}</p>" if rng.random() < 0.3 else "")
         if kind in ("menu", "sidebar") or (kind in ("header", "footer") and rng.random() < 0.5):
             items = "".join(f'<li><a href="/x">{words(1, 6)}</a></li>' for _ in range(int(rng.integers(2, 9))))
             return (f"<h3>{words(1, 3)}</h3>" if rng.random() < 0.4 else "") + f"<ul>{items}</ul>"
@@ -503,7 +507,7 @@ def lay_out(main: list[tuple[str, str]], others: list[str], rng: np.random.Gener
         if rng.random() < 0.2:
             blocks.insert(len(blocks) if kind == "comments" else int(rng.integers(len(blocks) + 1)), part(kind))
     container = pick(("article", "article", "main", "div", "div", "section", ""))
-    if container and main and main[0][0] in ("h1", "h2", "h3") and rng.random() < 0.25:
+    if container and main and main[0][0] in ("h1", "h2", "h3") and rng.random() < 0.35:
         # The article's own header holds its title.
         title = next(i for i, b in enumerate(blocks) if MARK in b)
         blocks[title] = f"<header{pick(('', ' class=entry-header', ' class=article-header', ' class=post-header'))}>{blocks[title]}</header>"
