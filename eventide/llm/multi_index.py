@@ -1,20 +1,26 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
-Each vector is cut in halves and each half quantised to one of ``CENTROIDS``
-centroids, fitted by k-means on at most ``TRAIN_ROWS`` vectors (the first by a
-hash of vec_id).  The pair of centroids is the vector's cell.  A query walks
-cells by rising summed distance (here: falling sum of the two halves' inner
-products) with a heap over the two sorted centroid lists, until the cells it
-has reached hold ``VISIT`` of all vectors and at least ``LEAST`` of them; the
-entries of those cells are reranked by the exact inner product of the original
-vectors.  Both bounds follow the number of vectors, so recall does not sink as
-a table grows.
-
-Entries stand in blocks of about ``BLOCK`` vectors of neighbouring cells; a
-crowded cell is spread over several blocks.  Queries come in blocks too and are
-sent to the entry blocks that hold their cells, so a task holds one entry block
-and one query block.  Only the table of cell counts (at most CENTROIDS^2 rows)
-and the centroids reach the driver.
+Each vector is cut in halves and each half quantised to a centroid, fitted by
+k-means on at most ``TRAIN_ROWS`` vectors (the first by a hash of vec_id).  The
+pair of centroids is the vector's cell.  The centroids a half follow the number
+of vectors, so that a cell of the grid stands for about ``CELL_ROWS`` of them,
+up to ``CENTROIDS``.  A query walks cells by rising summed distance (here:
+falling sum of the two halves' inner products) with a heap over the two sorted
+centroid lists, until the cells it has reached hold enough vectors; the entries
+of those cells are reranked by the exact inner product of the original vectors.
+
+How many are enough is measured on the table itself: at most ``MEASURED``
+queries (the first by a hash of vec_id) are compared with every vector, and the
+bound is the least number of entries within which their cells hold ``RECALL``
+of the true neighbours.  So structured vectors are searched in few cells, and
+vectors without structure in as many as they need.
+
+Entries stand in blocks of neighbouring cells, a sixteenth of the table up to
+``BLOCK`` vectors; a crowded cell is spread over several blocks.  Queries come
+in blocks too and are sent to the entry blocks that hold their cells, so a task
+holds one entry block and one query block.  Only the table of cell counts (at
+most CENTROIDS^2 rows), the centroids, the measured queries and their k
+neighbours' cells reach the driver.
 
 Defined cases: null, empty, zero and non-finite vectors, null vec_ids and
 vectors whose length is not the commonest one (the shorter on a tie) take no
@@ -26,6 +32,7 @@ gives none.
 from __future__ import annotations
 
 import heapq
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +44,17 @@ from pyspark.sql import functions as F
 from eventide.llm.common import save
 
 TRAIN_ROWS = 16_384
-CENTROIDS = 64
+CENTROIDS = 256
+CELL_ROWS = 2.5
 ROUNDS = 12
-VISIT = 0.55
-LEAST = 4_000
-BLOCK = 8_192
+RECALL = 0.95
+MEASURED = 256
+BLOCK, LEAST_BLOCK = 8_192, 256
 QUERY_BLOCK = 512
 SEED = 3
 
+_log = logging.getLogger(__name__)
+
 
 # ------------------------------------------------------------------- the index
 
@@ -107,10 +117,12 @@ class Layout:
             else:
                 held += n
         self.blocks = at + 1
+        self.last = self.first + self.spread - 1
 
     def cells_of(self, block: int) -> np.ndarray:
-        """Cells with entries in a block, in order."""
-        return np.flatnonzero((self.counts > 0) & (self.first <= block) & (block < self.first + self.spread))
+        """Cells with entries in a block, in order: first and last blocks rise with the cells."""
+        lo, hi = np.searchsorted(self.last, block), np.searchsorted(self.first, block, side="right")
+        return lo + np.flatnonzero(self.counts[lo:hi] > 0)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -128,6 +140,11 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def centroid_count(total: int) -> int:
+    """Centroids a half for a table of ``total`` vectors."""
+    return int(min(CENTROIDS, max(2, round((total / CELL_ROWS) ** 0.5))))
+
+
 def fit(rows: DataFrame, limit: int = TRAIN_ROWS, count: int = CENTROIDS) -> tuple[np.ndarray, np.ndarray] | None:
     """Centroids of both halves, from a bounded sample, in one task."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(limit).repartition(1)
@@ -161,6 +178,56 @@ def _with_cells(rows: DataFrame, centers: tuple[np.ndarray, np.ndarray]) -> Data
     return rows.mapInArrow(run, "vec_id long, cell int, vector array<double>")
 
 
+# ---------------------------------------------------------- how far to walk
+
+def true_cells(indexed: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
+    """(query, cell) of the k nearest of each sampled query among all vectors.
+    A task passes on k vectors a query, whatever it reads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, found, cells = np.empty((len(ids), 0)), np.empty((len(ids), 0), np.int64), np.empty((len(ids), 0), np.int32)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            there = np.broadcast_to(b.column(0).to_numpy(), (len(ids), b.num_rows))
+            new = np.where(there == ids[:, None], -np.inf, queries @ _matrix(b.column(2)).T)
+            score, found = np.concatenate([score, new], 1), np.concatenate([found, there], 1)
+            cells = np.concatenate([cells, np.broadcast_to(b.column(1).to_numpy(), there.shape)], 1)
+            keep = np.lexsort((found, -score), axis=1)[:, :k]
+            score, found, cells = (np.take_along_axis(v, keep, 1) for v in (score, found, cells))
+        query, at = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays([pa.array(query, pa.int32()), *(pa.array(v[query, at]) for v in (found, cells, score))],
+                                         ["query", "vec_id", "cell", "score"])
+
+    near = indexed.select("vec_id", "cell", "vector").mapInArrow(run, "query int, vec_id long, cell int, score double")
+    place = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    rows = near.withColumn("place", place).filter(F.col("place") <= k).select("query", "cell").collect()
+    return np.array([(r["query"], r["cell"]) for r in rows], np.int64).reshape(-1, 2)
+
+
+def entries_needed(first: np.ndarray, second: np.ndarray, counts: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Entries that a walk has reached when it has passed each of ``cells``."""
+    order = np.argsort(-(first[:, None] + second).ravel(), kind="stable")
+    held = np.empty(len(order), np.int64)
+    held[order] = np.cumsum(counts[order])
+    return held[cells]
+
+
+def measure(indexed: DataFrame, asked: DataFrame, centers: tuple[np.ndarray, np.ndarray], counts: np.ndarray,
+            k: int, recall: float = RECALL, sample: int = MEASURED) -> int:
+    """Entries a query must reach for ``recall`` of the true neighbours, as
+    measured on at most ``sample`` of the queries against all vectors."""
+    rows = asked.select("vec_id", "vector").orderBy(F.xxhash64("vec_id", F.lit(2)), "vec_id").limit(sample).collect()
+    if not rows:
+        return 0
+    ids, queries = np.array([r["vec_id"] for r in rows], np.int64), np.array([r["vector"] for r in rows])
+    near, half = true_cells(indexed, ids, queries, k), centers[0].shape[1]
+    needed = [entries_needed(q[:half] @ centers[0].T, q[half:] @ centers[1].T, counts, near[near[:, 0] == i, 1])
+              for i, q in enumerate(queries)]
+    every = np.concatenate(needed)
+    return int(np.quantile(every, recall, method="higher")) if len(every) else 0
+
+
 # ------------------------------------------------------------------ the search
 
 def _packed(rows: DataFrame, key: str, size: int) -> DataFrame:
@@ -261,9 +328,10 @@ def _searcher(layout: Layout, k: int):
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-           visit: float = VISIT, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+           visit: float | None = None, least: int = 0, block: int | None = None, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose
-    ``vec_id`` meets ``is_query``, nearest first."""
+    ``vec_id`` meets ``is_query``, nearest first.  ``visit`` sets the share of
+    all vectors that a query's cells hold, in place of the measured one."""
     spark = vectors.sparkSession
     shape = "query_id long, vec_id long, score double"
     rows = save(usable(vectors, id_col, vector_col), "index-vectors")
@@ -272,26 +340,31 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.filter(F.size("vector") == lengths["n"])
-    centers = fit(rows)
+    centers = fit(rows, count=centroid_count(lengths["count"]))
     indexed = save(_with_cells(rows, centers), "index-cells")
     cells = indexed.groupBy("cell").count().collect()
     counts = np.zeros(len(centers[0]) * len(centers[1]), np.int64)
     for r in cells:
         counts[r["cell"]] = r["count"]
-    layout, total = Layout(counts, block), int(counts.sum())
-    wanted = min(total, max(least, int(np.ceil(visit * total))))
+    total = int(counts.sum())
+    layout = Layout(counts, block or min(BLOCK, max(LEAST_BLOCK, -(-total // 16))))
+    queries = indexed.filter(is_query)
+    share = measure(indexed, queries, centers, counts, k, recall) if visit is None else int(np.ceil(visit * total))
+    # A query's own entry is among those reached.
+    wanted = min(total, max(least, share, k + 1))
+    _log.info("cells visited hold %d of %d vectors (%d x %d centroids)", wanted, total, *map(len, centers))
 
     places = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(layout.first, layout.spread, strict=True))],
                                    "cell int, first long, spread long")
     placed = indexed.join(F.broadcast(places), "cell").withColumn(        # CENTROIDS^2 rows at most
         "block", F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("spread")))
     entries = _packed(placed, "block", 1 << 30)
-    queries = indexed.filter(is_query)
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     asked = _packed(queries.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).cast("long")), "part", QUERY_BLOCK)
     routed = asked.repartition(min(query_blocks, 2000)).mapInArrow(
         _router(centers, layout, wanted), "block long, query_ids binary, queries binary, bits binary")
-    pairs = entries.join(routed, "block").select("block", "ids", "cells", "vectors", "query_ids", "queries", "bits")
+    # The one entry row of a block is the side that a merge join buffers.
+    pairs = routed.join(entries, "block").select("block", "ids", "cells", "vectors", "query_ids", "queries", "bits")
     near = pairs.mapInArrow(_searcher(layout, k), shape)
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -198,7 +198,7 @@ def awkward_vectors():
 def test_search_equals_brute_force_when_all_is_visited(spark):
     rows = awkward_vectors()
     frame = spark.createDataFrame([(a, b, 1) for a, b in rows], "vec_id long, embedding array<double>, rank int")
-    got = multi_index.search(frame, F.col("vec_id") % 20 == 0, k=7, block=16).collect()
+    got = multi_index.search(frame, F.col("vec_id") % 20 == 0, k=7, block=16, visit=1.0).collect()
     good = usable(rows)
     by_query = {}
     for r in got:
@@ -234,6 +234,41 @@ def test_recall_where_cells_are_skipped(spark):
     assert hit >= 0.9 * 600
 
 
+@pytest.mark.parametrize("spread", [0.05, None])
+def test_recall_with_production_parameters(spark, spread):
+    """k = 20 and every default, on vectors in groups and on vectors without
+    structure; groups need few cells."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 16)) if spread is None else rng.normal(size=(60, 16))[rng.integers(0, 60, 3000)] + spread * rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = multi_index.search(frame, F.col("vec_id") % 20 == 0).collect()
+    assert len(got) == 150 * 20
+    hit = 0
+    for q in range(0, 3000, 20):
+        s = x @ x[q]
+        s[q] = -9
+        hit += len(set(np.argsort(-s)[:20].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert hit >= 0.94 * 3000
+
+
+def test_entries_needed_are_those_of_the_walk():
+    rng = np.random.default_rng(5)
+    a, b, counts = rng.normal(size=6), rng.normal(size=8), rng.integers(0, 4, 48)
+    for cell in np.flatnonzero(counts):
+        needed = int(multi_index.entries_needed(a, b, counts, np.array([cell]))[0])
+        assert cell in multi_index.walk(a, b, counts.tolist(), needed)
+        assert cell not in multi_index.walk(a, b, counts.tolist(), needed - int(counts[cell]))
+
+
+def test_cells_of_a_block():
+    counts = np.random.default_rng(6).integers(0, 9, 60) * np.where(np.arange(60) == 31, 20, 1)
+    layout = multi_index.Layout(counts, 12)
+    for block in range(layout.blocks):
+        expected = [c for c in range(60) if counts[c] and layout.first[c] <= block < layout.first[c] + layout.spread[c]]
+        assert layout.cells_of(block).tolist() == expected
+
+
 def test_walk_visits_cells_by_summed_distance():
     rng = np.random.default_rng(3)
     a, b, counts = rng.normal(size=5), rng.normal(size=7), rng.integers(0, 4, 35)
