@@ -6,12 +6,19 @@ shares of all documents.  Its size is bounded whatever the corpus: with d
 distinct terms in a mean document, at most d / ``DF_LOW`` terms reach the lower
 edge, so it is small enough to send to every task.
 
-Each of ``LEXICONS`` randomised orders cuts the lexicon into nested subsets
-that hold every term, 1/2, 1/4, ... of them.  A fingerprint sorts a text's
-distinct lexicon terms and, for each order, hashes those in the smallest subset
-that still holds any of them; so short and long texts alike are hashed on one
-or two terms an order.  The likeness of two fingerprints is the share of orders
-with equal hashes, which follows the share of terms the texts have in common.
+There are ``LEXICONS`` randomised subsets of the lexicon for each share 1/4,
+1/16, ... 1/4^7 of its terms.  A text's distinct lexicon terms are sorted, and
+its signature of a subset hashes, in that order, all of them that the subset
+holds; a subset that holds none gives zero.  Signatures of subsets that hold
+many terms change with any edit, so a fingerprint keeps those of two shares:
+the greatest at which at most ``CROWDED`` of the text's subsets hold a term, and
+the next.  Before them stand the signature of the whole lexicon and the share.
+
+The likeness of two fingerprints is 1 if the whole signatures agree.  Otherwise
+it is the share of equal signatures among the subsets that hold a term of
+either text, at the greatest share both keep at which at most ``CROWDED`` of
+the subsets do (else the smallest they keep).  Texts that keep no common share
+differ in length more than fourfold: 0.
 
 The edited texts of the contract need each document's successor: documents are
 dealt into ranges of doc_id, compressed, sorted there, and the first document
@@ -42,6 +49,8 @@ from eventide.llm.common import MAX_LONG, order_key, range_cuts
 
 DF_LOW, DF_HIGH = 0.001, 0.15
 LEXICONS = 32
+SHARES = 7
+CROWDED = 0.75
 SEED = 7
 # Terms a task holds before it passes its counts on.
 FLUSH_TERMS = 400_000
@@ -49,9 +58,11 @@ RANGE_DOCS = 16_384
 MAX_RANGES = 20_000
 
 _TERM = re.compile(r"\w+")
-# Multipliers that order the lexicon, and that hash within a subset.
-_ORDER, _HASH = (np.array([[xxhash.xxh64_intdigest(f"{use} {i}", SEED) | 1] for i in range(LEXICONS)], np.uint64)
-                 for use in ("order", "hash"))
+# A term is in subset i of share 1/4^s if its hash times multiplier i is below 2^64 / 4^s.
+_SUBSET = np.array([[xxhash.xxh64_intdigest(f"subset {i}", SEED) | 1] for i in range(LEXICONS)], np.uint64)
+_BELOW = np.array([1 << (64 - 2 * share) for share in range(1, SHARES + 1)], np.uint64)
+# A fingerprint: four 16-bit parts of the whole signature, the share, then the signatures of two shares.
+_HEAD = 5
 
 
 def terms(text: str) -> set[str]:
@@ -98,17 +109,34 @@ class IMatch:
         every = terms(text)
         known = sorted(every & self.hash_of.keys()) or sorted(every)
         h = np.array([self.hash_of.get(w) or xxhash.xxh64_intdigest(w, SEED) for w in known], np.uint64)
+        out = np.zeros(_HEAD + 2 * LEXICONS, np.uint16)
         if not known:
-            return np.zeros(LEXICONS, np.uint16)
-        # Depth of a term: the halvings of the lexicon that it outlasts.
-        depth = -np.frexp((h * _ORDER).astype(np.float64))[1]
-        chosen = depth == depth.max(1, keepdims=True)
-        mixed = np.where(chosen, (h ^ (h >> np.uint64(31))) * _HASH, np.uint64(0)).sum(1, dtype=np.uint64)
-        return np.maximum(mixed >> np.uint64(48), np.uint64(1)).astype(np.uint16)
+            return out
+        place = h * _SUBSET
+        used = (place.min(1)[:, None] < _BELOW).sum(0)          # subsets of each share that hold a term
+        share = min(SHARES - 1, 1 + int((used > CROWDED * LEXICONS).sum()))
+        whole = xxhash.xxh64_intdigest(h.tobytes(), SEED)
+        out[:_HEAD] = [whole >> 48, whole >> 32 & 0xFFFF, whole >> 16 & 0xFFFF, whole & 0xFFFF, share]
+        for at in (0, 1):
+            subset, term = np.nonzero(place < _BELOW[share - 1 + at])      # by subset, then in the terms' order
+            held, there = h[term].tobytes(), np.unique(subset)
+            starts, ends = (np.searchsorted(subset, there, side=side).tolist() for side in ("left", "right"))
+            for i, lo, hi in zip(there.tolist(), starts, ends, strict=True):
+                out[_HEAD + at * LEXICONS + i] = max(1, xxhash.xxh64_intdigest(held[8 * lo:8 * hi], SEED) >> 48)
+        return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    return float((a == b).mean())
+    if (a[:_HEAD - 1] == b[:_HEAD - 1]).all():
+        return 1.0
+    shares, near = (int(a[_HEAD - 1]), int(b[_HEAD - 1])), 0.0
+    for share in range(max(shares), min(shares) + 2):
+        x, y = (f[_HEAD + (share - own) * LEXICONS:][:LEXICONS] for f, own in zip((a, b), shares, strict=True))
+        held = int(((x > 0) | (y > 0)).sum())
+        near = int(((x == y) & (x > 0)).sum()) / max(1, held)
+        if held <= CROWDED * LEXICONS:
+            break
+    return near
 
 
 def as_text(fingerprint: np.ndarray) -> str:
