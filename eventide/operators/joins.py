@@ -8,18 +8,27 @@ buckets, so the equi-join finds every candidate pair exactly once while a
 hot key is spread over as many tasks as it has buckets, and the residual
 range check inside a task compares only rows of neighbouring times rather
 than all rows of the key.  Semi and anti joins keep the point side, so each
-of its rows is tested once.
+of its rows is tested once.  Where the length of ranges is data (a switch's
+duration) the longest one is looked at first.  Beyond ``MAX_BUCKETS`` buckets
+no range is exploded: a point lies in one of its key's ranges if the greatest
+end of those begun so far is still to come, which is a keyed scan.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.functions.time import epoch_ms, floor_div
+from eventide.operators.sequence import keyed_scan
 from eventide.operators.windows import window_col
 
+# Buckets that one range of a gate may be exploded over.
+MAX_BUCKETS = 32
+
 
 def point_range_join(points: DataFrame, ranges: DataFrame,
                      keys: Sequence[tuple[str, str]], point_ms: str,
@@ -100,10 +109,26 @@ def reconcile(orders: DataFrame, pays: DataFrame, key: str, tolerance_ms: int,
 def gate(readings: DataFrame, switches: DataFrame, key: str, reading_ts: str,
          switch_ts: str, switch_dur: str, bucket_ms: int) -> DataFrame:
     """Keep readings that fall while a switch of their key is on,
-    ``switch.ts <= reading.ts < switch.ts + dur`` (left semi join)."""
-    return point_range_join(readings, switches, [(key, key)], reading_ts,
-                            F.col(switch_ts), F.col(switch_ts) + F.col(switch_dur), bucket_ms,
-                            how="left_semi", hi_inclusive=False)
+    ``switch.ts <= reading.ts < switch.ts + dur`` (each once, as a semi join).
+
+    The longest duration, one number, is read first.  Within ``MAX_BUCKETS``
+    buckets this is a left semi range join.  Beyond, a switch stays one row,
+    however long it is on: the running maximum of the ends, per key in time
+    order, tells whether one is on; switches stand before readings of the same
+    time.  Rows without key, time or duration match nothing.
+    """
+    longest = switches.agg(F.max(switch_dur)).first()[0]
+    if longest is None or longest <= MAX_BUCKETS * bucket_ms:
+        return point_range_join(readings, switches, [(key, key)], reading_ts,
+                                F.col(switch_ts), F.col(switch_ts) + F.col(switch_dur), bucket_ms,
+                                how="left_semi", hi_inclusive=False)
+    known = lambda *names: functools.reduce(operator.and_, [F.col(c).isNotNull() for c in names])
+    points = readings.filter(known(key, reading_ts)).withColumn("_reading", F.lit(1))
+    starts = switches.filter(known(key, switch_ts, switch_dur)).select(
+        key, F.col(switch_ts).alias(reading_ts), F.lit(0).alias("_reading"), (F.col(switch_ts) + F.col(switch_dur)).alias("_end"))
+    seen = keyed_scan(points.unionByName(starts, allowMissingColumns=True), [key], reading_ts, "_reading",
+                      maxes={"_until": F.col("_end")}, bucket_ms=bucket_ms)
+    return seen.filter((F.col("_reading") == 1) & (F.col("_until") > F.col(reading_ts))).select(*readings.columns)
 
 
 def union_streams(*dfs: DataFrame) -> DataFrame:

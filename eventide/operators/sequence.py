@@ -103,14 +103,15 @@ def time_buckets(df: DataFrame, keys: Sequence[str], ts_ms: str, bucket_ms: int,
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
                sums: Mapping[str, Column] | None = None, lags: Sequence[str] = (),
-               bucket_ms: int = DEFAULT_BUCKET_MS,
+               maxes: Mapping[str, Column] | None = None, bucket_ms: int = DEFAULT_BUCKET_MS,
                target_rows: int | None = DEFAULT_TARGET_ROWS,
                keep_bucket: bool = False) -> DataFrame:
-    """Add per-key running sums (inclusive) and previous-row values.
+    """Add per-key running sums and maxima (inclusive) and previous-row values.
 
     Order within a key is (``ts_ms``, ``tie``).  For each ``name`` in
     ``sums`` a column ``name`` holds the running sum of that expression up
-    to and including the row; for each column ``c`` in ``lags`` a column
+    to and including the row, and so does each ``name`` in ``maxes`` for the
+    greatest value (null before the first); for each column ``c`` in ``lags`` a column
     ``prev_c`` holds its value on the previous row of the key (null on the
     first row).
 
@@ -118,15 +119,18 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     following scan of the same keys then reuses it (no second sizing pass)
     and finds the rows already partitioned by (key, bucket).
     """
-    sums = dict(sums or {})
+    sums, maxes = dict(sums or {}), dict(maxes or {})
     keys = list(keys)
     x = df if "_b" in df.columns else time_buckets(df, keys, ts_ms, bucket_ms, target_rows)
     x = x.withColumn("_key", key_struct(keys))
     for n, c in sums.items():
         x = x.withColumn(f"_i_{n}", c.cast("long"))
+    for n, c in maxes.items():
+        x = x.withColumn(f"_i_{n}", c)
 
     aggs = [F.sum(f"_i_{n}").alias(f"_s_{n}") for n in sums]
     order = _order_key(df, ts_ms, tie)
+    aggs += [F.max(f"_i_{n}").alias(f"_s_{n}") for n in maxes]
     for c in lags:
         aggs.append(F.max_by(F.col(c), order).alias(f"_last_{c}"))
     if not aggs:
@@ -135,6 +139,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     wk = Window.partitionBy("_key").orderBy("_b")
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
     carry = [F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums]
+    carry += [F.max(f"_s_{n}").over(before).alias(f"_o_{n}") for n in maxes]
     carry += [F.lag(f"_last_{c}").over(wk).alias(f"_plast_{c}") for c in lags]
     carries = stats.select("_key", "_b", *carry)
 
@@ -144,11 +149,13 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], ts_ms: str, tie: str,
     out = j
     for n in sums:
         out = out.withColumn(n, F.sum(f"_i_{n}").over(upto) + F.col(f"_o_{n}"))
+    for n in maxes:
+        out = out.withColumn(n, F.greatest(F.max(f"_i_{n}").over(upto), F.col(f"_o_{n}")))
     if lags:
         first = F.row_number().over(wb) == 1
         for c in lags:
             out = out.withColumn(f"prev_{c}", F.when(first, F.col(f"_plast_{c}"))
                                  .otherwise(F.lag(c).over(wb)))
-    drop = ["_key"] + ([] if keep_bucket else ["_b"]) + ([f"_i_{n}" for n in sums] + [f"_o_{n}" for n in sums]
+    drop = ["_key"] + ([] if keep_bucket else ["_b"]) + ([f"_{part}_{n}" for part in "io" for n in [*sums, *maxes]]
             + [f"_plast_{c}" for c in lags])
     return out.drop(*[d for d in drop if d in out.columns])

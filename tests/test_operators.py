@@ -85,6 +85,40 @@ def test_range_joins_brute_force(ev, spark):
     expect = sorted(a[0] for a in data if any(b[4] == "b" and b[1] == a[1] and b[2] <= a[2] < b[2] + int(b[3] * 500)
                                               for b in data))
     assert sorted(r["id"] for r in gated.collect()) == expect
+    scanned = J.gate(ev.select("id", "key", "ts_ms"), sw, "key", "ts_ms", "sw_ts", "dur_ms", bucket_ms=10)
+    assert sorted(r["id"] for r in scanned.collect()) == expect
+
+
+@pytest.mark.parametrize("bucket_ms", [1_000, 10 ** 13])
+def test_gate_of_long_and_tied_switches(spark, bucket_ms):
+    """A switch may be on for any number of buckets; ends are exclusive, starts
+    inclusive; a shorter later switch does not end a longer one.  By the scan
+    and, in wide buckets, by the join."""
+    readings = spark.createDataFrame(
+        [(1, "a", 999), (2, "a", 1_000), (3, "a", 5_000), (3, "a", 5_000), (4, "a", 10 ** 13), (5, "a", 10 ** 13 + 1_000),
+         (6, "b", 2_000), (7, "b", 2_010), (8, None, 2_000), (9, "b", None), (10, "c", 5)], "id int, key string, ts_ms long")
+    switches = spark.createDataFrame(
+        [("a", 1_000, 10 ** 13), ("a", 1_500, 10), ("b", 2_000, 10), ("b", 2_020, -50), (None, 0, 10 ** 13), ("c", 5, None),
+         ("c", None, 7), ("c", 5, 0)], "key string, sw_ts long, dur_ms long")
+    out = J.gate(readings, switches, "key", "ts_ms", "sw_ts", "dur_ms", bucket_ms=bucket_ms)
+    assert out.columns == readings.columns
+    assert sorted(r["id"] for r in out.collect()) == [2, 3, 3, 4, 6]
+    none = J.gate(readings, switches.limit(0), "key", "ts_ms", "sw_ts", "dur_ms", bucket_ms=bucket_ms)
+    assert none.collect() == []
+
+
+@pytest.mark.parametrize("target", [None, 3])
+def test_running_maxima(ev, target):
+    """Running maxima over hot buckets that are cut again."""
+    from eventide.operators.sequence import keyed_scan
+    out = keyed_scan(ev.select("id", "key", "ts_ms", "temp"), ["key"], "ts_ms", "id",
+                     maxes={"top": F.when(F.col("temp") > 1, F.col("temp"))}, bucket_ms=7_000, target_rows=target)
+    top, expect = {}, []
+    for a in sorted(_events(), key=lambda a: (a[2], a[0])):
+        if a[3] > 1:
+            top[a[1]] = max(top.get(a[1], a[3]), a[3])
+        expect.append((a[0], top.get(a[1])))
+    assert sorted((r["id"], r["top"]) for r in out.collect()) == sorted(expect)
 
 
 @pytest.mark.parametrize("bucket_ms,target", [(10_000, None), (1_000, None), (50_000, 5)])
