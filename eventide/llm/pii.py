@@ -13,10 +13,11 @@ date       a calendar day of 1900-2099                the day number
 ssn        9 digits grouped 3-2-4                     all digits
 phone      + country code, 7 to 12 digits in groups,  digits after the code
            or 3-3-4 groups
-ip         four octets                                the 32-bit address
+ip         four octets, no letter or "version"        the 32-bit address
+           before them
 secret     32 to 128 hexadecimal digits               all digits
-card       Luhn check of 13 to 19 digits; without     digits; the Luhn sum keeps
-           it 16 digits, or groups 4-4-4-4 or 4-6-5   its remainder (valid: 0)
+card       Luhn check of 13 to 19 digits, bare or in  all digits but the last,
+           groups 4-4-4-4 or 4-6-5                    which keeps the Luhn check
 =========  =========================================  =========================
 
 Strings run through a balanced Feistel network over their characters: a round
@@ -25,6 +26,10 @@ the size of the character's class (digits, lower, upper case; hexadecimal
 digits for secrets).  Dates and addresses run through the same kind of network
 over two numbers.
 
+The key comes from the session setting ``KEY_SETTING`` (its name makes Spark
+redact the value), unless a caller passes one; where neither is given, the
+public ``KEY`` serves tests and examples and hides nothing from its readers.
+
 Defined cases: a null text stays null with 0 replacements; a text without a
 value is unchanged; values that fail validation stay as they are; repeated
 rows come out alike; very long texts are handled whole, with patterns of
@@ -33,9 +38,10 @@ bounded look-behind and repetition; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+KEY_SETTING = "spark.eventide.pseudonym.secret"
 KEY = "eventide-pseudonym-key"
 ROUNDS = 8
 
@@ -77,7 +83,7 @@ PATTERNS = {
              r"|(?<![\w+])\+\d{1,3}[ .-]\(?\d{1,4}\)?(?:[ .-]\d{2}(?!\d)){3}(?:[ .-]\d{2}(?!\d|[./:-]\d))?"
              r"|(?<![\w+])\+\d{1,3}[ .-]\(?\d{1,4}\)?[ .-]\d{3}(?:[ .-]\d{2}|[ .-]\d{3})[ .-]\d{2}(?!\d)"
              r"|(?<![\w(-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\d-])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
+    "ip": r"(?<![\w.])(?<!\b[Vv]er )(?<!\b[Vv]er\. )(?<!\b[Vv]ersion )(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
     "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])",
     "card": r"(?<![\dA-Za-z])(?:\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\dA-Za-z])",
 }
@@ -148,17 +154,14 @@ def luhn_sum(digits: str) -> str:
 
 
 def _card(value: str, key: str) -> str:
-    """Digits but the last are permuted, and the last keeps the Luhn sum's
-    remainder: valid runs stay valid, others stay invalid, and no two runs
-    share a pseudonym.  A run that fails the check is replaced only where its
-    layout names a card: 16 digits, or groups; any other stays."""
+    """Digits but the last are permuted and the last makes the run valid again,
+    so no two cards share a pseudonym.  A run that fails the check stays."""
     digits = _digits(value)
-    rest = f"{luhn_sum(digits)} % 10"
     moved = feistel_text(f"left({digits}, length({digits}) - 1)", key, "card")
-    last = f"cast((10 + {rest} - {luhn_sum('concat(p, 0)')} % 10) % 10 as string)"
+    last = f"cast((10 - {luhn_sum('concat(p, 0)')} % 10) % 10 as string)"
     made = f"transform(array({moved}), p -> concat(p, {last}))[0]"
-    new = f"case when {rest} = 0 or length({digits}) = 16 or {value} rlike '[ -]' then {made} else {digits} end"
-    return f"transform(array({new}), n -> {_poured(value, 'n')})[0]"
+    return (f"case when {luhn_sum(digits)} % 10 = 0 then transform(array({made}), n -> {_poured(value, 'n')})[0] "
+            f"else {value} end")
 
 
 def _mod97(value: str) -> str:
@@ -231,9 +234,15 @@ def pseudonym(value: str, key: str = KEY) -> str:
     return "case " + " ".join(f"when {whole(kind)} then {sql}" for kind, sql in made.items()) + f" else {value} end"
 
 
-def with_pseudonyms(docs: DataFrame, key: str = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting, or the public one where it is unset."""
+    return spark.conf.get(KEY_SETTING, KEY)
+
+
+def with_pseudonyms(docs: DataFrame, key: str | None = None) -> DataFrame:
     """docs with ``ev_text``, the text with values replaced, and ``ev_found``,
     an array of structs (value, pseudonym) in text order."""
+    key = session_key(docs.sparkSession) if key is None else key
     text = F.col("text").cast("string")
     # A value holds a digit or an "@", or is a secret of letters; most texts hold
     # none of these and are not searched.
@@ -247,7 +256,7 @@ def with_pseudonyms(docs: DataFrame, key: str = KEY) -> DataFrame:
     return df.withColumn("ev_text", F.when(F.size("ev_found") > 0, joined).otherwise(text)).drop("ev_values")
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str | None = None) -> DataFrame:
     """docs with its text column replaced (and ``n_chars``, where there is one,
     set to the new length of changed texts); other columns as they are."""
     df = with_pseudonyms(docs, key)
@@ -258,7 +267,7 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     return df.select(*[made[c].alias(c) if c in made else F.col(f"`{c}`") for c in docs.columns])
 
 
-def report(docs: DataFrame, key: str = KEY) -> DataFrame:
+def report(docs: DataFrame, key: str | None = None) -> DataFrame:
     """(doc_id, text, n_replaced): every text with its values replaced."""
     df = with_pseudonyms(docs.select("doc_id", "text"), key)
     changed = F.size(F.filter(F.coalesce(F.col("ev_found"), F.array().cast("array<struct<value:string,pseudonym:string>>")),
