@@ -15,14 +15,15 @@ every document, the rest is one run, so at most two documents a shard are cut.
 Document words taken are counted exactly, and the same seed gives the same mix.
 
 Skew: a source is spread over up to ``BUCKETS`` shards of about ``SHARD_DOCS``
-documents by a hash of doc_id, so a hot source is many tasks.  What reaches the
+documents by a hash of doc_id and text, so a hot source is many tasks, and so
+are the rows of a null or repeated doc_id; only rows alike in both share one.  What reaches the
 driver is one row a source; quotas of one source's shards (at most ``BUCKETS``
 rows) are settled in one group.
 
 Defined cases: a null or wordless text has size 0 and takes 0 words; a null
 source is a source of its own, the last; repeated rows count as often as they
-occur and stand side by side; a null doc_id stands first in its shard; an
-empty table gives no rows.
+occur and stand side by side; rows of a null or repeated doc_id are dealt by
+their texts; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ def sainte_lague(votes: np.ndarray, seats: int) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, seed: int) -> DataFrame:
-    ident = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
+    ident = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text").cast("string"))
     return docs.select(
         "*", words_count(F.col("text").cast("string")).alias("ev_size"),
         F.col("source").isNull().alias("ev_null"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("ev_source"),

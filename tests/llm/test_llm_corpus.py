@@ -84,6 +84,17 @@ def test_mix_over_shards(sf_docs):
     check_mix(sf_docs, shard_docs=3)
 
 
+def test_rows_of_one_doc_id_spread_over_shards(spark):
+    # Two thirds of the rows have a null or the same doc_id; their texts deal them.
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " + "w " * (i % 5), "a" if i % 4 else "b") for i in range(1200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = lambda: sorted((r["text"], r["source"], r["ev_taken"]) for r in mixing.mix(frame, shard_docs=40).collect())
+    shards = mixing.mix(frame, shard_docs=40).groupBy("source", "ev_shard").count().collect()
+    assert len(shards) > 25 and max(r["count"] for r in shards) < 100
+    assert taken() == taken()
+    check_mix(frame, shard_docs=40)
+
+
 def test_mixed_documents_hold_the_words_taken(docs, sf_docs):
     for frame in (docs, sf_docs):
         out = mixing.mixed_documents(frame)
