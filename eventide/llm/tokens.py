@@ -19,7 +19,7 @@ import numpy as np
 from eventide.llm.common import per_worker
 
 # Parts kept per worker (about 200 bytes each); the memo starts afresh beyond.
-MEMO_PARTS = 500_000
+MEMO_PARTS = 200_000
 
 _SAFE_SPACE = re.compile(r"(?<=\S) ")
 # Punctuation that may end a word; a run of it is one pre-token.

@@ -12,6 +12,7 @@ from llm_fixtures import WORDS, sentence
 from pyspark.sql import functions as F
 
 from eventide.llm import crf, ftrl, html_extract as H
+from eventide.llm.tokens import BpeEncoder, vocabulary
 
 SF = "/root/testdata/sf0.01"
 
@@ -182,6 +183,24 @@ def test_features_do_not_depend_on_pieces(monkeypatch):
     assert ftrl.features("").tolist() == [] and ftrl.features("!? ...").tolist() == []
 
 
+def test_memos_of_a_worker_stay_small():
+    """Many distinct words must not fill a worker's memory (hashes and token ids)."""
+    import tracemalloc
+
+    words = [f"w{i:x}q" for i in range(300_000)]
+    bpe = BpeEncoder(vocabulary())
+    tracemalloc.start()
+    for at in range(0, len(words), 20_000):
+        ftrl.features(" ".join(words[at:at + 20_000]))
+    hashes = tracemalloc.get_traced_memory()[0]
+    for at in range(0, len(words), 20_000):
+        bpe.ids(" ".join(words[at:at + 20_000]))
+    both = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert hashes < 40 << 20
+    assert both - hashes < 40 << 20
+
+
 def test_ftrl_is_sparse_and_learns():
     rng = np.random.default_rng(0)
     model = ftrl.Ftrl()
