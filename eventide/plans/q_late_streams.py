@@ -273,6 +273,7 @@ def stream_json_docs(spark, sf):
 
 
 TIMER_MS = 1000
+LANE_ROWS = 8192               # rows of the table for each lane of timers
 
 
 @query("stream_processing_timer", oracle=f"""
@@ -282,9 +283,11 @@ def stream_processing_timer(spark, sf):
     """I2 as a query: a processing-time timer a second after each arrival of a
     sensor; what it waited does not depend on the clock."""
     path, schema = _feed(spark, sf, "processing-timer")
+    lanes = max(64, S.read_table(spark, sf, "events").count() // LANE_ROWS)
 
     def build(s):
-        return S.sensor_readings(_with_ms(s)).groupBy("id").transformWithState(
+        arrived = S.sensor_readings(_with_ms(s)).select("id", V.lane_of("id", lanes).alias("lane"))
+        return arrived.groupBy("lane").transformWithState(
             V.ArrivalTimers("id", TIMER_MS), "id string, waited_ms long", "Append", "ProcessingTime")
 
     def wait():

@@ -212,31 +212,42 @@ class TopOfWindow(StatefulProcessor):
         pass
 
 
+def lane_of(key: str, lanes: int):
+    """The lane of a key: one of ``lanes`` groups of keys."""
+    return F.pmod(F.xxhash64(key), F.lit(lanes))
+
+
 class ArrivalTimers(StatefulProcessor):
     """A processing-time timer ``delay_ms`` after each arrival of a key
     (one micro-batch is one arrival).  Each firing emits how long it waited by
-    its own time, which does not depend on the clock."""
+    its own time, which does not depend on the clock.
+
+    Grouped by ``lane_of`` the key: keys of a lane that arrive together have
+    the same due time, so they share a timer and a state entry."""
 
-    def __init__(self, key: str, delay_ms: int):
-        self.key, self.delay = key, delay_ms
+    def __init__(self, key: str, delay_ms: int, key_type: str = "string"):
+        self.key, self.delay, self.key_type = key, delay_ms, key_type
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.arrivals = handle.getMapState("arrivals", "fire_ms long", "arrival_ms long")
+        self.arrivals = handle.getMapState("arrivals", "fire_ms long", f"arrival_ms long, keys array<{self.key_type}>")
 
     def handleInputRows(self, key, rows, timerValues):
-        for _ in rows:
-            pass
         now = timerValues.getCurrentProcessingTimeInMs()
-        self.arrivals.updateValue((now + self.delay,), (now,))
+        due, arrived = (now + self.delay,), {r[self.key] for r in rows}
+        held = self.arrivals.getValue(due)
+        if held is not None:
+            arrived |= set(held[1])
+        self.arrivals.updateValue(due, (now, list(arrived)))
         self.handle.registerTimer(now + self.delay)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         at = expiredTimerInfo.getExpiryTimeInMs()
-        arrival = self.arrivals.getValue((at,))[0]
+        arrival, arrived = self.arrivals.getValue((at,))
         self.arrivals.removeKey((at,))
-        yield Row(**{self.key: key[0], "waited_ms": at - arrival})
+        for k in arrived:
+            yield Row(**{self.key: k, "waited_ms": at - arrival})
 
     def close(self) -> None:
         pass
