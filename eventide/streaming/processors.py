@@ -1,8 +1,9 @@
 """Stateful processors for ``transformWithState``.
 
 Rows of a key reach ``handleInputRows`` in any order within the watermark
-delay.  Processors that depend on order keep them in list state, packed as
-the few fields they need, until the watermark has passed them; then no
+delay.  Processors that depend on order keep the few fields they need in list
+state, an entry of arrays for the rows of one micro-batch, until the watermark
+has passed them; then no
 earlier row can come, and they are walked in (ts, tie) order.  A timer that
 is due before a row (``T < row.ts``) is fired inline, and one that the
 watermark has passed is fired after the walk -- the same rule the batch twins
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import deque
+from operator import itemgetter
 
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -23,6 +25,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 _NO_TIMER = -1
 # Rows without a time come first.
 _NO_TIME = -(1 << 62)
+# Rows in one entry of a list state.
+_ENTRY_ROWS = 4096
 
 
 class DeadlineTimers(StatefulProcessor):
@@ -62,7 +66,7 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        schema = ", ".join(f"{name} {kind}" for name, kind in self.fields.items())
+        schema = ", ".join(f"{name} array<{kind}>" for name, kind in self.fields.items())
         self.waiting = handle.getListState("waiting", schema)
         self.open()
 
@@ -76,19 +80,22 @@ class InOrder(StatefulProcessor):
         return _NO_TIMER
 
     def handleInputRows(self, key, rows, timerValues):
-        fresh = [tuple(r[f] for f in self.fields) for r in rows]
+        fresh, take = [], None
+        for r in rows:
+            take = take or itemgetter(*[r.__fields__.index(f) for f in self.fields])
+            fresh.append(take(r))
         if fresh:
-            self.waiting.appendList(fresh)
+            self.waiting.appendList(_entries(fresh))
             self._wake(min(_time(r) for r in fresh))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs()
-        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        held = [r for entry in self.waiting.get() for r in zip(*entry, strict=True)] if self.waiting.exists() else []
         ready = sorted((r for r in held if _time(r) <= watermark), key=lambda r: (_time(r), r[1] is not None, r[1]))
         rest = [r for r in held if _time(r) > watermark]
         if ready:
-            self.waiting.put(rest) if rest else self.waiting.clear()
+            self.waiting.put(_entries(rest)) if rest else self.waiting.clear()
         out = self.walk(key, ready, watermark)
         if rest:
             self._wake(min(map(_time, rest)))
@@ -107,6 +114,18 @@ def _time(row: tuple) -> int:
     return _NO_TIME if row[0] is None else row[0]
 
 
+def _entries(rows: list[tuple]) -> list[tuple]:
+    """Rows as entries of a list state, an array for each field: what an entry
+    costs on its way to the state store is paid once for many rows."""
+    return [tuple(map(list, zip(*rows[at:at + _ENTRY_ROWS], strict=True))) for at in range(0, len(rows), _ENTRY_ROWS)]
+
+
+def _held(state) -> tuple | None:
+    """What a value state holds, by one call."""
+    value = state.get()
+    return None if value is None else tuple(value)
+
+
 class CountChangelog(InOrder):
     """Each row retracts its key's count, when there is one, and adds
     the new one: (false, seq - 1) and (true, seq)."""
@@ -119,7 +138,7 @@ class CountChangelog(InOrder):
         self.count = self.handle.getValueState("count", "n long")
 
     def walk(self, key, rows, watermark):
-        n, out = self.count.get()[0] if self.count.exists() else 0, []
+        n, out = (_held(self.count) or (0,))[0], []
         for _ in rows:
             n += 1
             if n > 1:
@@ -169,11 +188,11 @@ class RisingAlert(InOrder):
         self.due = self.handle.getValueState("due", "t long")
 
     def next_due(self) -> int:
-        return self.due.get()[0] if self.due.exists() else _NO_TIMER
+        return (_held(self.due) or (_NO_TIMER,))[0]
 
     def walk(self, key, rows, watermark):
         out, due = [], self.next_due()
-        last, seen = tuple(self.last.get()) if self.last.exists() else (None, False)
+        last, seen = _held(self.last) or (None, False)
         for ts, _, value in rows:
             if due != _NO_TIMER and ts is not None and ts > due:
                 out.append(Row(**{self.key: key[0], "alert_ms": due}))
@@ -205,11 +224,11 @@ class ListStateRounds(InOrder):
         self.due = self.handle.getValueState("due", "t long")
 
     def next_due(self) -> int:
-        return self.due.get()[0] if self.due.exists() else _NO_TIMER
+        return (_held(self.due) or (_NO_TIMER,))[0]
 
     def walk(self, key, rows, watermark):
         out, due = [], self.next_due()
-        n = self.count.get()[0] if self.count.exists() else 0
+        n = (_held(self.count) or (0,))[0]
         for ts, _ in rows:
             if due != _NO_TIMER and ts is not None and ts > due:
                 out.append(Row(**{self.key: key[0], "fire_ms": due, "cnt": n}))
@@ -307,14 +326,15 @@ class FollowedBy(InOrder):
         self.pending = self.handle.getValueState("pending", "ts_ms long, event_id long, event_type string")
 
     def next_due(self) -> int:
-        return self.pending.get()[0] + self.within if self.pending.exists() else _NO_TIMER
+        p = _held(self.pending)
+        return _NO_TIMER if p is None else p[0] + self.within
 
     def _row(self, key, kind, match_id, item):
         return Row(**{"kind": kind, self.key: key[0], "match_id": match_id, "event_id": item[1],
                       "event_type": item[2], "ts_ms": item[0], "deadline_ms": item[0] + self.within})
 
     def walk(self, key, rows, watermark):
-        out, p = [], tuple(self.pending.get()) if self.pending.exists() else None
+        out, p = [], _held(self.pending)
         for item in rows:
             if p is not None:
                 if item[0] - p[0] >= self.within:
@@ -348,7 +368,7 @@ class SwitchGate(InOrder):
 
     def walk(self, key, rows, watermark):
         names, out = list(self.fields), []
-        until = self.until.get()[0] if self.until.exists() else _NO_TIME
+        until = (_held(self.until) or (_NO_TIME,))[0]
         # A switch counts for every reading at its own time, whatever their ids.
         opening = [(r[0], r[0] + r[3]) for r in rows if r[2] and r[0] is not None and r[3] is not None]
         ends, top = [], until
