@@ -185,16 +185,15 @@ def tokenize(docs: DataFrame, tokenizer_path: str, vocab: int, end_id: int = END
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer_path)
-        width, end = bpe.dtype.itemsize, np.array([end_id], bpe.dtype).tobytes()
+        width = bpe.dtype.itemsize
         total = np.zeros(vocab, np.int64)
         names = ["doc_id", "n_tokens", "ids"]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                packed = [bpe.packed(t.as_py() or "") + end for t in part.column(1)]
-                total += np.bincount(np.frombuffer(b"".join(packed), bpe.dtype), minlength=vocab)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(p) // width for p in packed], pa.int64()), pa.array(packed, pa.binary())], names)
+            for at, ids, counts in bpe.batches(batch.column(1), end_id):
+                total += np.bincount(ids, minlength=vocab)
+                bounds = (width * np.append(0, np.cumsum(counts))).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(counts)), pa.array(counts, pa.int64()), packed], names)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array([total.tobytes()], pa.binary())], names)
 
