@@ -118,13 +118,14 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, open_window
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         bpe = encoder(tokenizer_path)
-        end = np.array([end_id], np.uint32)
         state = OpenWindows(window, open_windows, min_piece, part << 32)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                state.add_document(doc_id, np.concatenate([bpe.ids(text.as_py() or ""), end], dtype=np.uint32))
-            yield _batch(state.closed, ("ev_group", -1))
-            state.closed = []
+            doc_ids = batch.column(0).to_pylist()
+            for at, ids, counts in bpe.batches(batch.column(1), end_id):
+                for doc_id, packed in zip(doc_ids[at:at + len(counts)], np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                    state.add_document(doc_id, packed)
+                yield _batch(state.closed, ("ev_group", -1))
+                state.closed = []
         yield _batch(state.leftovers(), ("ev_group", part))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
