@@ -23,6 +23,7 @@ from eventide.streaming.runner import (
     FLUSH_MS, append_batches, bounded_delay, events_flush_row, latest_complete, newest_per_key, numbered_batches,
     run_bounded)
 from eventide.streaming.sources import event_stream
+from eventide.streaming.stateful_windows import lane_of
 
 HOUR = 3_600_000
 DAY = 24 * HOUR
@@ -133,12 +134,21 @@ def _tws(s, key, proc, schema):
     return s.groupBy(key).transformWithState(proc, schema, "Append", "EventTime")
 
 
+LANE_ROWS = 8192               # rows of the table for each lane of timers
+
+
 @query("stream_timer_deadlines", oracle=_oracle("timer_deadlines"))
 def stream_timer_deadlines(spark, sf):
-    """I1 on a stream: event-time timers in transformWithState."""
+    """I1 on a stream: event-time timers in transformWithState, shared by the
+    deadlines of a lane."""
+    lanes = max(64, S.read_table(spark, sf, "events").count() // LANE_ROWS)
+
     def build(s):
-        r = S.sensor_readings(s)
-        return _tws(r, "id", P.DeadlineTimers("id", 10_000), "id string, fire_ms long")
+        # A row without a time has no deadline; the event time stays, so late rows are seen.
+        r = S.sensor_readings(s).filter(F.col("ts_ms").isNotNull())
+        r = r.select("id", "ts", "ts_ms", lane_of(F.struct("id", "ts_ms"), lanes).alias("lane"))
+        return r.groupBy("lane").transformWithStateInPandas(
+            P.DeadlineTimers("id", 10_000), "id string, fire_ms long", "Append", "EventTime")
     return _run(spark, sf, build, "stream_timer_deadlines")
 
 

@@ -19,6 +19,7 @@ from bisect import bisect_right
 from collections import deque
 from operator import itemgetter
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -30,24 +31,50 @@ _ENTRY_ROWS = 4096
 
 
 class DeadlineTimers(StatefulProcessor):
-    """Every row sets an event-time timer at ts + delay; each firing emits
-    (key, fire_ms).  Re-registering the same time is a no-op, so each
-    (key, time) fires once.  Order does not matter."""
+    """Every row sets an event-time deadline at ts + delay; each deadline
+    that the watermark has passed fires once and emits (key, fire_ms).
+    Deadlines are unique per (key, time); order does not matter.
+
+    Runs over pandas batches (a string key, no row without a time), grouped by
+    ``lane_of`` the key and the time.  The pending deadlines of a lane stand in
+    list state as arrays, and one timer wakes the lane at its next one: a timer
+    of the engine for each costs a row several calls to the state store."""
 
     def __init__(self, key: str, delay_ms: int, ts: str = "ts_ms"):
         self.key, self.delay, self.ts = key, delay_ms, ts
 
     def init(self, handle) -> None:
         self.handle = handle
+        self.pending = handle.getListState("pending", "keys array<string>, fire_ms array<long>")
+        self.woken = set()                         # lanes that have fired in this micro-batch
 
     def handleInputRows(self, key, rows, timerValues):
-        for t in {r[self.ts] for r in rows}:
-            if t is not None:
-                self.handle.registerTimer(t + self.delay)
+        due = []
+        for batch in rows:
+            keys = batch[self.key].astype(object)
+            fresh = set(zip(keys.where(keys.notna(), None), (batch[self.ts] + self.delay).tolist(), strict=True))
+            self.pending.appendList(_entries(list(fresh)))
+            due.append(min(t for _, t in fresh))
+        if due:
+            self._wake(min(due))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield Row(**{self.key: key[0], "fire_ms": expiredTimerInfo.getExpiryTimeInMs()})
+        # Timers of several micro-batches may wake a lane together; the first fires all that is due.
+        if tuple(key) in self.woken:
+            return
+        self.woken.add(tuple(key))
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = {d for entry in self.pending.get() for d in zip(*entry, strict=True)}
+        rest = [d for d in held if d[1] > watermark]
+        if len(rest) < len(held):
+            self.pending.put(_entries(rest)) if rest else self.pending.clear()
+            yield pd.DataFrame([d for d in held if d[1] <= watermark], columns=[self.key, "fire_ms"])
+        if rest:
+            self._wake(min(t for _, t in rest))
+
+    def _wake(self, t: int) -> None:
+        self.handle.registerTimer(max(t, 0))
 
     def close(self) -> None:
         pass
